@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beadloom.runtime import parts
+from beadloom.runtime import cut, parts
 
 _FOLD_ROWS = 1 << 20
 
@@ -96,7 +96,8 @@ def balanced_totals(df: DataFrame, keys: list[str], sums: list[str], n: int | No
 
     states = narrow.mapInArrow(fold_task, state)
     ranged = states.repartitionByRange(n, *named, "turn").sortWithinPartitions(*named)
-    local = ranged.mapInArrow(fold_range, merged)
+    # read twice below: sampled bounds may differ from run to run, so the states are written once
+    local = cut(ranged.mapInArrow(fold_range, merged))
     # closed keys end here; open ones, at most two per partition, are put together
     closed = local.filter(~F.col("open")).select(*named, *held)
     stitched = local.filter("open").groupBy(*named).agg(*(F.sum(h).alias(h) for h in held))
