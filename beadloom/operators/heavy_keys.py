@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +25,10 @@ _FOLD_ROWS = 1 << 20
 
 
 def _arrow_fold(keys: list[str], sums: list[str], table: pa.Table) -> pa.Table:
+    """One state per key, in Spark's ascending order (nulls first)."""
     made = table.group_by(keys, use_threads=False).aggregate([(s, "sum") for s in sums])
-    return made.rename_columns([c[:-4] if c.endswith("_sum") and c[:-4] in sums else c for c in made.column_names])
+    made = made.rename_columns([c[:-4] if c.endswith("_sum") and c[:-4] in sums else c for c in made.column_names])
+    return made.take(pc.sort_indices(made, sort_keys=[(k, "ascending") for k in keys], null_placement="at_start"))
 
 
 def balanced_totals(df: DataFrame, keys: list[str], sums: list[str], n: int | None = None) -> DataFrame:
