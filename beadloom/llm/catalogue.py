@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beadloom.llm import frequent, leakage
+from beadloom.llm import frequent, leakage, markov
 from beadloom.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,31 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+_PATCHES = """
+    WITH RECURSIVE p AS (SELECT bead_id, upper(trim(sb)) AS barcode, x, y, puck_index FROM puck WHERE sb IS NOT NULL),
+    o AS (SELECT barcode FROM p GROUP BY 1 HAVING count(*) = 1),
+    b AS (SELECT * FROM p SEMI JOIN o USING (barcode) WHERE x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)),
+    n AS (SELECT DISTINCT cb_index, bead_id, puck_index, x, y FROM molecules JOIN sb_list USING (sb_index) JOIN b USING (barcode) WHERE cb_index > 0),
+    e AS (SELECT a.cb_index, a.bead_id AS a, b.bead_id AS b FROM n a JOIN n b USING (cb_index, puck_index) WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 400),
+    r AS (SELECT cb_index, a, b FROM e UNION SELECT r.cb_index, r.a, e.b FROM r JOIN e ON r.cb_index = e.cb_index AND r.b = e.a),
+    g AS (SELECT cb_index, a AS bead_id, min(b) AS head_bead_id FROM r GROUP BY ALL)
+    SELECT cb_index, bead_id, head_bead_id FROM g QUALIFY count(*) OVER (PARTITION BY cb_index, head_bead_id) >= 5"""
+
+
+def _members(spark: SparkSession, sf: str) -> DataFrame:
+    return markov.bead_patches(table(spark, sf, "molecules"), table(spark, sf, "sb_list"), table(spark, sf, "puck"))
+
+
+@query("p1_found", _PATCHES)
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _members(spark, sf).filter("patch_size >= 5").select("cb_index", "bead_id", "head_bead_id")
+
+
+@query("p1_patches")
+def p1_patches(spark: SparkSession, sf: str) -> DataFrame:
+    return markov.patches(_members(spark, sf))
+
+
 _TOP = """
     WITH i AS (SELECT 'puck.sb' AS item_field, upper(trim(sb)) AS item, 10 AS k FROM puck UNION ALL SELECT 'molecules.sb_index', sb_index::VARCHAR, 12 FROM molecules),
     c AS (SELECT item_field, item, k, count(*) AS n FROM i WHERE item IS NOT NULL GROUP BY ALL)
