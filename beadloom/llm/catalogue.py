@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beadloom.llm import frequent, leakage, markov
+from beadloom.llm import frequent, language, leakage, markov, mixture
 from beadloom.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,28 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 @query("p7_near")
 def p7_near(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.near_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+@query("p8_mix")
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets")).documents
+
+
+@query("p8_shares")
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets")).shares
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return language.mislabelled_lines(table(spark, sf, "documents"))
+
+
+@query("p9_segments")
+def p9_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return language.segments(language.line_languages(table(spark, sf, "documents")))
+
+
+@query("p9_documents")
+def p9_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return language.document_languages(language.line_languages(table(spark, sf, "documents")))
