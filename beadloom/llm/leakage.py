@@ -30,16 +30,13 @@ def seeds(df: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFrame:
 
     def hashed(mask: str, number: int) -> Column:
         looked = [k for k, c in enumerate(mask) if c == "1"]
-        return F.transform(
-            F.sequence(F.lit(0), F.size("w") - span),
-            lambda i: F.xxhash64(F.lit(number), *(F.element_at("w", i + k + 1) for k in looked)),
-        )
+        places = F.when(F.size("w") >= span, F.sequence(F.lit(0), F.size("w") - span))
+        return F.transform(places, lambda i: F.xxhash64(F.lit(number), *(F.element_at("w", i + k + 1) for k in looked)))
 
     both = F.arrays_zip(*(hashed(m, n).alias(f"m{n}") for n, m in enumerate(masks)))
-    long_enough = df.filter(F.size("w") >= span)
     if len(masks) == 1:
-        return long_enough.select(*keep, F.posexplode(hashed(masks[0], 0)).alias("at", "seed"))
-    each = long_enough.select(*keep, F.posexplode(both).alias("at", "m"))
+        return df.select(*keep, F.posexplode(hashed(masks[0], 0)).alias("at", "seed"))
+    each = df.select(*keep, F.posexplode(both).alias("at", "m"))
     return each.select(*keep, "at", F.explode(F.array(*(F.col(f"m.m{n}") for n in range(len(masks))))).alias("seed"))
 
 
@@ -69,11 +66,11 @@ def overlaps(documents: DataFrame, items: DataFrame, masks: tuple[str, ...] = MA
     small = hashes.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES
     dw = documents.select("doc_id", words("text").alias("w"))
     hits = seeds(dw, ["doc_id"], masks).join(F.broadcast(hashes) if small else hashes, "seed")
-    lines = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count("*").alias("n_hits"))
-    # only documents with a hit are split again, and only once each
-    dw2 = documents.select("doc_id", words("text").alias("dw"))
+    # each document's alignments go to it in one row, and its words are split again only if it has any
+    lines = hits.groupBy("doc_id").agg(F.collect_set(F.struct("item_id", (F.col("at") - F.col("item_at")).alias("shift"))).alias("lines"))
+    held = documents.select("doc_id", "text").join(lines, "doc_id").select("doc_id", words("text").alias("dw"), "lines")
     iw2 = iw.withColumnRenamed("w", "iw")
-    met = lines.join(F.broadcast(iw2) if small else iw2, "item_id").join(dw2, "doc_id")
+    met = held.select("doc_id", "dw", F.inline("lines")).join(F.broadcast(iw2) if small else iw2, "item_id")
     first, last = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("iw"), F.size("dw") - F.col("shift")) - 1
     # the stretch of the item that lies on the document under this shift
     flags = F.transform(F.sequence(first, last), lambda i: F.element_at("iw", i + 1) == F.element_at("dw", i + F.col("shift") + 1))
