@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The linker between both halves of a bead barcode, bases in the order of their 2-bit codes, and lengths.
@@ -65,15 +65,19 @@ def deletions_of(s: str) -> list[str]:
     return sorted({s[:k] + s[k + 1 :] for k in range(len(s))})
 
 
-def linker_state(r2: str | Column) -> Column:
-    """How the linker lies in the first 32 bases of read 2; the first rule that holds."""
-    r2 = _c(r2)
+def with_linker(df: DataFrame, r2: str = "r2") -> DataFrame:
+    """Adds ``linker``, how the linker lies in the first 32 bases of read 2: the first rule that holds.
+
+    Both mismatch counts are columns of their own first, so that the rules do not count again.
+    """
     here, left, short = F.substring(r2, 9, 18), F.substring(r2, 8, 18), F.substring(r2, 9, 17)
-    off, off_left = mismatches(here, F.lit(LINKER), 18), mismatches(left, F.lit(LINKER), 18)
-    return (
+    off, off_left = F.col("_off"), F.col("_off_left")
+    counted = df.withColumns({"_off": mismatches(here, F.lit(LINKER), 18), "_off_left": mismatches(left, F.lit(LINKER), 18)})
+    state = (
         F.when(off == 0, "exact").when(off == 1, "-1X").when(base_count(here, "G") >= 15, "GG").when(off_left == 0, "1D-")
         .when(off_left == 1, "1D-1X").when(short.isin(deletions_of(LINKER)), "-1D").when(off == 2, "-2X").otherwise("none")
     )
+    return counted.withColumn("linker", state).drop("_off", "_off_left")
 
 
 def halves(r2: str | Column, state: str | Column) -> tuple[Column, Column]:
