@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 #: The languages, by code.
 CODES = ("de", "en", "es", "fr", "it", "nl", "pt", "ru", "zh")
 #: Orders of n-grams, and places they are hashed to.
-ORDERS, PLACES = (1, 2, 3, 4), 1 << 18
+ORDERS, PLACE_BITS = (1, 2, 3, 4), 18
+PLACES = 1 << PLACE_BITS
+#: Lines scored in one product: their number and an n-gram's place share 32 bits.
+MOST_LINES = 1 << (32 - PLACE_BITS)
 #: Bounds of the fit: labelled documents sampled, lines of each language used, landmarks of each language in the first and the second fit.
 FIT_DOCUMENTS, FIT_LINES, LANDMARKS = 6_000, 1_200, (30, 90)
 RIDGE = 1e-2
@@ -44,25 +47,28 @@ def plain(line: str) -> str:
 
 
 def presence(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of every n-gram present, the line it is in (sorted by line), and the n-grams per line."""
+    """Place of every n-gram present, the line it is in (sorted by line), and the n-grams per line; ``MOST_LINES`` lines at most."""
     sizes = np.array([len(x) + 2 for x in lines], dtype=np.int64)
-    codes = np.frombuffer("".join(f" {x} " for x in lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    line = np.repeat(np.arange(len(lines), dtype=np.int64), sizes)
-    h = np.zeros(len(codes), dtype=np.uint64)
+    codes = np.frombuffer("".join(f" {x} " for x in lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    line = np.repeat(np.arange(len(lines), dtype=np.uint32) << np.uint32(PLACE_BITS), sizes)
+    h = np.zeros(len(codes), dtype=np.uint32)
     keys = []
     for n in range(1, max(ORDERS) + 1):
         m = len(codes) - n + 1
         if m <= 0:
             break
-        h = h[:m] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :] + np.uint64(n)
+        h = (h[:m] + np.uint32(n)) * np.uint32(0x9E3779B1) + codes[n - 1 :]
         if n in ORDERS:
-            mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            place = (mixed >> np.uint64(46)).astype(np.int64)
-            inside = line[:m] == line[n - 1 :]
-            keys.append((line[:m] * PLACES + place)[inside])
-    keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.int64)
-    at = keys // PLACES
-    return keys % PLACES, at, np.bincount(at, minlength=len(lines))
+            mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77)
+            key = line[:m] | (mixed >> np.uint32(32 - PLACE_BITS))
+            keys.append(key[line[:m] == line[n - 1 :]] if n > 1 else key)
+    keys = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint32)
+    keys.sort()
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    keys = keys[first]
+    at = keys >> np.uint32(PLACE_BITS)
+    return keys & np.uint32(PLACES - 1), at, np.bincount(at, minlength=len(lines))
 
 
 @dataclass
@@ -73,6 +79,8 @@ class Kernel:
 
     def scores(self, lines: list[str]) -> np.ndarray:
         """One row per (plain, non-empty) line."""
+        if len(lines) > MOST_LINES:
+            return np.concatenate([self.scores(lines[k : k + MOST_LINES]) for k in range(0, len(lines), MOST_LINES)])
         place, at, n = presence(lines)
         out = np.add.reduceat(self.weights[place], np.searchsorted(at, np.arange(len(lines))), axis=0)
         return out / np.sqrt(n)[:, None]
