@@ -152,8 +152,8 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     got = lambda row: np.array([row[p] or 0.0 for p in names])
     there, reach = got(tokens(F.lit(1.0))), got(tokens(F.col("cap")))
     able = there > 0
-    total = float(total_tokens) if total_tokens is not None else float(np.min(reach[able] / share[able], initial=np.inf, where=share[able] > 0)) if able.any() else 0.0
-    total = total if np.isfinite(total) else 0.0
+    asked = able & (share > 0)
+    total = float(total_tokens) if total_tokens is not None else float((reach[asked] / share[asked]).min()) if asked.any() else 0.0
     target = share * total
     # rates as an expression in the memberships: one clipped step per round, so no rate is ever stored or collected
     rate: Column = F.lit(0.0)
