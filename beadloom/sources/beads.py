@@ -28,7 +28,7 @@ def read_bead_pair(spark: SparkSession, barcodes: str, locations: str) -> DataFr
 
     The line's number comes from the file's order, so both small vendor files are read as one partition each.
     """
-    line = lambda p: spark.read.option("wholetext", True).text(p).select(F.posexplode(F.filter(F.split("value", r"\r?\n"), lambda v: F.trim(v) != "")).alias("nth", "value"))
+    line = lambda p: spark.read.text(p, wholetext=True).select(F.posexplode(F.filter(F.split("value", r"\r?\n"), lambda v: F.trim(v) != "")).alias("nth", "value"))
     sb = line(barcodes).select("nth", F.array_join(F.split("value", ","), "").alias("sb"))
     at = line(locations).select("nth", F.posexplode(F.split("value", ",")).alias("bead", "v"))
     axis = lambda k, name: at.filter(F.col("nth") == k).select(F.col("bead").alias("nth"), F.trim("v").try_cast("double").alias(name))

@@ -15,7 +15,7 @@ def read_market(spark: SparkSession, path: str) -> DataFrame:
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """``nth`` (from 1) and the tab-separated fields ``f`` of each line, in the file's order."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.filter(F.split("value", r"\r?\n"), lambda v: v != "")).alias("k", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.filter(F.split("value", r"\r?\n"), lambda v: v != "")).alias("k", "line"))
     return lines.select((F.col("k") + 1).cast("long").alias("nth"), F.split("line", "\t").alias("f"))
 
 
@@ -56,12 +56,12 @@ def wide_to_long(wide: DataFrame) -> DataFrame:
 def page_data(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The JSON after ``const data =`` of report pages."""
     body = F.regexp_extract("value", r"(?s)const data = (\{.*?\});?\s*</script>", 1)
-    return spark.read.option("wholetext", True).text(path).select(F.from_json(body, schema).alias("data"))
+    return spark.read.text(path, wholetext=True).select(F.from_json(body, schema).alias("data"))
 
 
 def sniffed_rows(spark: SparkSession, path: str) -> DataFrame:
     """``nth, f`` of a sheet separated by semicolon, tab or comma, whichever its first line has first in that order; comments and blanks left out."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split(F.regexp_replace("value", "^﻿", ""), r"\r?\n")).alias("nth", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "^﻿", ""), r"\r?\n")).alias("nth", "line"))
     kept = lines.filter((F.trim("line") != "") & ~F.col("line").startswith("#"))
     sep = F.when(F.col("head").contains(";"), ";").when(F.col("head").contains("\t"), "\t").otherwise(",")
     head = kept.agg(F.min_by("line", "nth").alias("head")).select(sep.alias("sep"))
