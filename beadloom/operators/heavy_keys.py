@@ -62,7 +62,8 @@ def balanced_totals(df: DataFrame, keys: list[str], sums: list[str], n: int | No
             if waiting:
                 raw = pa.Table.from_batches(waiting)
                 tables.append(raw.append_column("n_rows", pa.repeat(pa.scalar(1, pa.int64()), raw.num_rows)))
-            return _arrow_fold(named, held, pa.concat_tables([t.select([*named, *held]) for t in tables]))
+            # columns only, as fields that may and may not be null do not go together
+            return _arrow_fold(named, held, pa.concat_tables([pa.table({c: t[c] for c in (*named, *held)}) for t in tables]))
 
         for b in batches:
             waiting.append(b)
@@ -88,7 +89,7 @@ def balanced_totals(df: DataFrame, keys: list[str], sums: list[str], n: int | No
         for b in batches:
             if not b.num_rows:
                 continue
-            t = pa.Table.from_batches([b]).select([*named, *held])
+            t = pa.table({c: b[c] for c in (*named, *held)})
             t = _arrow_fold(named, held, pa.concat_tables([tail, t]) if tail is not None else t)
             body, tail = t.slice(0, t.num_rows - 1), t.slice(t.num_rows - 1)
             if body.num_rows:

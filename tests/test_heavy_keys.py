@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+from beadloom.operators import heavy_keys
 from beadloom.operators.heavy_keys import balanced_totals, dominant_keys, key_totals
 
 MOL = "cb_index long, sb_index long, reads long"
@@ -54,3 +55,20 @@ def test_string_keys_with_nulls(spark):
 @pytest.mark.parametrize("n", [1, 3])
 def test_empty_total(spark, n):
     assert balanced_totals(spark.createDataFrame([], "k long, v long"), ["k"], ["v"], n).count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 7, 100])
+def test_tasks_that_fold_many_times(spark, monkeypatch, rows):
+    monkeypatch.setattr(heavy_keys, "_FOLD_ROWS", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        df = spark.range(0, 900).selectExpr("id * id % 41 AS cb_index", "id % 700 AS sb_index", "id % 3 AS reads").repartition(3)
+        got = {tuple(r) for r in key_totals(df, 4).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = Counter(), Counter()
+    for k in range(900):
+        for key in (("cb_index", k * k % 41), ("sb_index", k % 700)):
+            want[0][key] += 1
+            want[1][key] += k % 3
+    assert got == {(*key, n, want[1][key]) for key, n in want[0].items()}
