@@ -171,9 +171,9 @@ def train(documents: DataFrame, bound: int = FIT_DOCUMENTS) -> Kernel | None:
 LINE = "doc_id long, lang string, line_no int, line_lang string, confidence double, n_letters long"
 
 
-def _assign(kernel, documents: DataFrame) -> DataFrame:
+def _assign(weights, documents: DataFrame) -> DataFrame:
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = kernel.value
+        own = Kernel(weights.value)
         ids, langs, numbers, pieces, owner = [], [], [], [], []
 
         def give() -> pd.DataFrame:
@@ -229,9 +229,9 @@ def line_languages(documents: DataFrame, bound: int = FIT_DOCUMENTS) -> DataFram
     kernel = train(documents, bound)
     if kernel is None:
         kernel = Kernel(np.zeros((PLACES, len(CODES)), dtype=np.float32))
-        blank = _assign(documents.sparkSession.sparkContext.broadcast(kernel), documents)
+        blank = _assign(documents.sparkSession.sparkContext.broadcast(kernel.weights), documents)
         return blank.withColumn("line_lang", F.lit(None).cast("string")).withColumn("confidence", F.lit(None).cast("double"))
-    return _assign(documents.sparkSession.sparkContext.broadcast(kernel), documents)
+    return _assign(documents.sparkSession.sparkContext.broadcast(kernel.weights), documents)
 
 
 def mislabelled_lines(documents: DataFrame) -> DataFrame:
