@@ -27,8 +27,10 @@ def flag_chimeras(m: DataFrame) -> DataFrame:
 def bead_checks(puck: DataFrame) -> DataFrame:
     """Puck rows (``sb`` trimmed, upper case) with ``is_dup, is_n, is_degenerate``; rows without a barcode or a place are left out."""
     p = puck.filter("sb IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)").withColumn("sb", F.upper(F.trim("sb")))
-    dup = F.count("*").over(Window.partitionBy("sb")) > 1
-    return p.select("bead_id", "sb", "x", "y", "puck_index", dup.alias("is_dup"), F.col("sb").contains("N").alias("is_n"), ((most_common("sb") > 10) | (longest_run("sb") > 7)).alias("is_degenerate"))
+    # counted first and joined back: a barcode of very many rows leaves each task as one count, and the join may be split
+    dups = p.groupBy("sb").agg(F.count("*").alias("n")).filter("n > 1").select("sb", F.lit(True).alias("dup"))
+    met = p.join(dups, "sb", "left")
+    return met.select("bead_id", "sb", "x", "y", "puck_index", F.coalesce("dup", F.lit(False)).alias("is_dup"), F.col("sb").contains("N").alias("is_n"), ((most_common("sb") > 10) | (longest_run("sb") > 7)).alias("is_degenerate"))
 
 
 def scale_of(n: Column) -> Column:

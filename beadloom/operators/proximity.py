@@ -89,7 +89,7 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, side: float, block_bits
     p = points.filter(_has_place()).select("g", "ident", "x", "y", z_order(grid(F.col("x"), side), grid(F.col("y"), side)).alias("code"))
     p = p.withColumn("block", F.shiftright("code", block_bits))
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return p.join(b, ["g", "block"]).filter(F.col("code").between(F.col("lo"), F.col("hi")) & inside).select("ident", "box").distinct()
+    return p.join(b, ["g", "block"]).filter(F.col("code").between(F.col("lo"), F.col("hi")) & inside).select("ident", "box")
 
 
 def close_beads(puck: DataFrame, radius: float = 2.0) -> DataFrame:

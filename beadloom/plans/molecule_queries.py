@@ -10,7 +10,7 @@ from beadloom.operators import dictionary as D
 from beadloom.operators import molecules as M
 from beadloom.plans import views as V
 from beadloom.plans.registry import Catalogue, with_
-from beadloom.runtime import table
+from beadloom.runtime import beside, table
 
 query = Catalogue()
 QUERIES, ORACLE = query.queries, query.oracle
@@ -145,7 +145,7 @@ def read_invariants(spark: SparkSession, sf: str) -> DataFrame:
     a = all_reads.agg(F.count("*").alias("n_reads"), F.count_if(linked).alias("n_linked"))
     b = _matched(spark, sf).agg(F.count("*").alias("n_looked_up"), F.count_if(F.col("sb_index") > 0).alias("n_matched"),
         (F.count_if(F.col("match") == "exact") == F.count_if((F.col("sb_index") > 0) & (F.col("pos") == 0))).alias("exact_is_pos_0"))
-    return a.join(F.broadcast(b), F.lit(True))  # one row each
+    return beside(a, b)
 
 
 # --- cells ---
@@ -318,8 +318,10 @@ def umi_per_puck(spark: SparkSession, sf: str) -> DataFrame:
     edges = M.lay_out(table(spark, sf, "puck")).groupBy("puck_index").agg(F.min("x_um").alias("lo"), F.max("x_um").alias("hi"))
     # places are few beside rows: they are added up before they meet the ranges
     by_x = V.cell_beads(spark, sf).groupBy("x_um").agg(F.sum("umi").alias("umi"), F.count("*").alias("n"))
-    small = edges.count() <= 100_000
-    met = by_x.join(F.broadcast(edges) if small else edges, F.col("x_um").between(F.col("lo"), F.col("hi")))
+    # ranges are opened into bins of x, so that places meet them by equality
+    bin_of = lambda c: F.floor(F.col(c) / 500.0)
+    opened = edges.withColumn("bin", F.explode(F.sequence(bin_of("lo"), bin_of("hi"))))
+    met = by_x.withColumn("bin", bin_of("x_um")).join(opened, "bin").filter(F.col("x_um").between(F.col("lo"), F.col("hi")))
     return met.groupBy("puck_index").agg(F.sum("umi").alias("umi"), F.sum("n").alias("n"))
 
 

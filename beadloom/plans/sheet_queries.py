@@ -12,7 +12,7 @@ from beadloom.operators import metadata as S
 from beadloom.operators import profile_reads as R
 from beadloom.plans import views as V
 from beadloom.plans.registry import Catalogue, with_
-from beadloom.runtime import table
+from beadloom.runtime import beside, table
 
 query = Catalogue()
 QUERIES, ORACLE = query.queries, query.oracle
@@ -215,7 +215,7 @@ def parser_summary(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "cb_list").agg(F.count("*").alias("cells_listed"))
     p = _paired(spark, sf).groupBy("cb").agg(F.count("*").alias("n")).agg(
         F.count("*").alias("cells_matched"), F.coalesce(F.sum("n"), F.lit(0)).alias("reads_matched"), F.coalesce(F.median("n"), F.lit(0.0)).alias("median_reads"), F.round(F.coalesce(F.avg("n"), F.lit(0.0)), 6).alias("mean_reads"))
-    return r.join(F.broadcast(c), F.lit(True)).join(F.broadcast(p), F.lit(True))  # one row each
+    return beside(beside(r, c), p)
 
 
 def _keys() -> tuple[list[str], list[str], list[str]]:

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -47,6 +48,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def beside(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Columns of ``other``, which has a single row, added to every row of ``one``: a scalar subquery, not a join."""
+    told = other.select(F.struct(*other.columns).alias("told")).scalar()
+    return one.withColumn("told", told).select(*(F.col(c) for c in one.columns), *(F.col(f"told.{c}").alias(c) for c in other.columns))
+
+
 def parts(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from beadloom.runtime import beside
+
 
 def read_market(spark: SparkSession, path: str) -> DataFrame:
     """``row, col, value`` (from 1) of a MatrixMarket file: comments and the line of sizes left out."""
@@ -66,4 +68,4 @@ def sniffed_rows(spark: SparkSession, path: str) -> DataFrame:
     sep = F.when(F.col("head").contains(";"), ";").when(F.col("head").contains("\t"), "\t").otherwise(",")
     head = kept.agg(F.min_by("line", "nth").alias("head")).select(sep.alias("sep"))
     cut = lambda s: F.transform(F.split("line", s), lambda v: F.trim(v))
-    return kept.join(F.broadcast(head), F.lit(True)).select("nth", F.when(F.col("sep") == ";", cut(";")).when(F.col("sep") == "\t", cut("\t")).otherwise(cut(",")).alias("f"))
+    return beside(kept, head).select("nth", F.when(F.col("sep") == ";", cut(";")).when(F.col("sep") == "\t", cut("\t")).otherwise(cut(",")).alias("f"))
