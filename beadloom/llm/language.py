@@ -30,6 +30,8 @@ PLACES = 1 << PLACE_BITS
 MOST_LINES = 1 << (32 - PLACE_BITS)
 #: Bounds of the fit: labelled documents sampled, lines of each language used, landmarks of each language in the first and the second fit.
 FIT_DOCUMENTS, FIT_LINES, LANDMARKS = 6_000, 1_200, (30, 90)
+#: Lines taken of a sampled document, and characters of such a line.
+DOC_LINES, LINE_CHARS = 20, 1_000
 RIDGE = 1e-2
 #: A score difference of 1 / SHARP is an e-fold in confidence.
 SHARP = 8.0
@@ -148,24 +150,32 @@ def named(lang: Column) -> Column:
     return F.when(code.isin(*CODES), code)
 
 
+def _fit_lines(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``DOC_LINES`` plain lines at most of each document, evenly over its whole text, ``LINE_CHARS`` of each."""
+    for pdf in pdfs:
+        codes, lines = [], []
+        for code, text in zip(pdf["code"], pdf["text"]):
+            own = [p for p in map(plain, text.split("\n")) if len(p) >= (6 if code == "zh" else 20)]
+            for p in own[:: -(-len(own) // DOC_LINES) or 1]:
+                codes.append(code), lines.append(p[:LINE_CHARS])
+        yield pd.DataFrame({"code": codes, "line": lines})
+
+
 def train(documents: DataFrame, bound: int = FIT_DOCUMENTS) -> Kernel | None:
-    """A kernel fitted on the lines of at most ``bound`` labelled documents, chosen by a hash of their ids; None without any."""
+    """A kernel fitted on lines of at most ``bound`` labelled documents, chosen by a hash of their ids; None without any.
+
+    Only the chosen ids are sorted out on the driver; texts become lines in the tasks, so what comes back is bounded too.
+    """
     labelled = documents.select("doc_id", named(F.col("lang")).alias("code"), "text").filter("code IS NOT NULL AND text IS NOT NULL")
-    some = labelled.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(bound).toPandas()
-    lines, labels, seen = [], [], set()
-    for code, text in zip(some["code"], some["text"]):
-        for line in text[: 1 << 16].split("\n"):
-            p = plain(line[:2000])
-            if len(p) >= 20 or (code == "zh" and len(p) >= 6):
-                if (code, p) not in seen:
-                    seen.add((code, p)), lines.append(p), labels.append(CODES.index(code))
-    if not lines:
+    chosen = labelled.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(bound)
+    some = labelled.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi").select("code", "text")
+    pairs = some.mapInPandas(_fit_lines, "code string, line string").distinct().toPandas().sort_values(["code", "line"], ignore_index=True)
+    if pairs.empty:
         return None
-    kinds = np.array(labels)
+    lines, kinds = pairs["line"].tolist(), pairs["code"].map(CODES.index).to_numpy()
     rng = np.random.default_rng(3)
     pick = np.sort(np.concatenate([rng.permutation(np.flatnonzero(kinds == k))[:FIT_LINES] for k in range(len(CODES))]))
-    lines, kinds = [lines[i] for i in pick], kinds[pick]
-    return fit(lines, kinds)
+    return fit([lines[i] for i in pick], kinds[pick])
 
 
 LINE = "doc_id long, lang string, line_no int, line_lang string, confidence double, n_letters long"

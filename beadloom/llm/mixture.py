@@ -62,14 +62,25 @@ def features(text: str) -> np.ndarray:
     return np.fromiter(both, dtype=np.int64, count=len(both))
 
 
+def _feature_rows(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in pdfs:
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "places": [np.sort(features(t)).astype(np.int32) for t in pdf["text"]]})
+
+
 def train(documents: DataFrame, sources: list[str], bound: int = FIT_DOCUMENTS) -> np.ndarray:
-    """Weights (places + 1, sources) of a softmax regression; the last row is the bias. Without labelled documents all are 0."""
-    some = documents.filter(F.col("label").isin(*sources) & F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(bound)
-    rows = some.select("label", F.substring("text", 1, SLICE).alias("text")).toPandas()
+    """Weights (places + 1, sources) of a softmax regression; the last row is the bias. Without labelled documents all are 0.
+
+    ``bound`` labelled documents at most, chosen by a hash of their ids; their whole texts become places in the tasks.
+    """
+    labelled = documents.filter(F.col("label").isin(*sources) & F.col("text").isNotNull()).select("doc_id", "label", "text")
+    chosen = labelled.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(bound)
+    some = labelled.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
+    rows = some.mapInPandas(_feature_rows, "doc_id long, label string, places array<int>").toPandas()
+    rows = rows.sort_values(["doc_id", "label"], ignore_index=True, kind="stable")
     weights = np.zeros((PLACES + 1, len(sources)))
     if rows.empty:
         return weights
-    xs, ys = [features(t) for t in rows["text"]], [sources.index(s) for s in rows["label"]]
+    xs, ys = [np.asarray(p, dtype=np.int64) for p in rows["places"]], [sources.index(s) for s in rows["label"]]
     seen, rng = np.full_like(weights, 1e-6), np.random.default_rng(5)
     for _ in range(PASSES):
         for i in rng.permutation(len(xs)):
