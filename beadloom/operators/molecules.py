@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beadloom.functions.seq import longest_run, most_common
+from beadloom.runtime import cut
 
 
 def matrix(rows: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def lay_out(puck: DataFrame) -> DataFrame:
     checked = bead_checks(puck)
     per = puck.groupBy("puck_index").agg(F.count("*").alias("n"))
     good = checked.filter("NOT is_dup AND NOT is_n AND NOT is_degenerate").join(per, "puck_index")
-    um = good.select("bead_id", "sb", "puck_index", (F.col("x") * scale_of(F.col("n"))).alias("x"), (F.col("y") * scale_of(F.col("n"))).alias("y"))
+    um = cut(good.select("bead_id", "sb", "puck_index", (F.col("x") * scale_of(F.col("n"))).alias("x"), (F.col("y") * scale_of(F.col("n"))).alias("y")))
     edge = um.groupBy("puck_index").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"))
     before = F.coalesce(F.sum(F.col("x1") - F.col("x0")).over(Window.orderBy("puck_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     return um.join(edge.withColumn("start", before), "puck_index").select("bead_id", "sb", "puck_index", (F.col("x") - F.col("x0") + F.col("start")).alias("x_um"), (F.col("y") - F.col("y0")).alias("y_um"))
@@ -75,9 +76,13 @@ def umi_cutoff(per_bead: DataFrame, top_percent: float = 1.0) -> DataFrame:
 
 
 def cell_beads(m: DataFrame, beads: DataFrame, top_percent: float | None = 1.0) -> DataFrame:
-    """``cb_index, x_um, y_um, umi`` of called cells, without chimeras, unknown beads and the beads of most UMIs."""
+    """``cb_index, x_um, y_um, umi`` of called cells, without chimeras, unknown beads and the beads of most UMIs.
+
+    Beads and counts are each read more than once below, and written once: one row per bead, and one per cell and bead.
+    """
+    beads = cut(beads)
     kept = staged(m, beads).filter("stage = 'final'")
-    counts = count_umis(kept)
+    counts = count_umis(kept) if top_percent is None else cut(count_umis(kept))
     if top_percent is not None:
         per_bead = counts.groupBy("sb_index").agg(F.sum("umi").alias("umi"))
         high = per_bead.filter(F.col("umi") > umi_cutoff(per_bead, top_percent).scalar()).select("sb_index")

@@ -10,7 +10,7 @@ from beadloom.operators import dictionary as D
 from beadloom.operators import molecules as M
 from beadloom.plans import views as V
 from beadloom.plans.registry import Catalogue, with_
-from beadloom.runtime import beside, table
+from beadloom.runtime import beside, cut, table
 
 query = Catalogue()
 QUERIES, ORACLE = query.queries, query.oracle
@@ -296,7 +296,7 @@ def bead_umi_cutoff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("high_umi_beads", with_(V.CELL_BEADS, "SELECT sb_index, umi FROM pb SEMI JOIN hi USING (sb_index)"))
 def high_umi_beads(spark: SparkSession, sf: str) -> DataFrame:
-    p = _per_bead(spark, sf)
+    p = cut(_per_bead(spark, sf))
     return p.filter(F.col("umi") > M.umi_cutoff(p).scalar())
 
 
