@@ -91,26 +91,25 @@ def _parsed(sep: str, tail: str) -> str:
            regexp_extract_all(line || '{tail}', '({field}){sep}', 1, 's') AS f FROM kept WHERE {"" if sep != "," else "NOT "}tsv"""
 
 
-@query(
-    "p4_found",
-    rf"""
+_SHEET = rf"""
     WITH l AS (SELECT raw_id, lower(coalesce(file_name, '')) LIKE '%.tsv' AS tsv, regexp_replace(line, '\r$', '') AS line FROM metadata_raw WHERE line IS NOT NULL),
     kept AS (SELECT * FROM l WHERE NOT regexp_full_match(line, '\x{{feff}}?[ \r\n]*') AND line NOT LIKE '#%' AND NOT regexp_matches(line, '^\x{{feff}}?"?Run"?[,\t]"?Email"?[,\t]')),
     parsed AS ({_parsed(",", ",")} UNION ALL {_parsed("	", "	")}),
-    t AS (SELECT raw_id, whole, len(f) AS n, list_transform(f, lambda v: regexp_replace(CASE WHEN left(v, 1) = '"' THEN replace(substr(v, 2, length(v) - 2), '""', '"') ELSE v END, '^\s+|\s+$', '', 'g')) AS f FROM parsed),
-    r AS (SELECT raw_id, CASE
+    g AS (SELECT raw_id, whole, len(f) AS n, list_transform(f, lambda v: CASE WHEN left(v, 1) = '"' THEN replace(substr(v, 2, length(v) - 2), '""', '"') ELSE v END) AS g FROM parsed),
+    t AS (SELECT *, list_transform(g, lambda v: regexp_replace(v, '^\s+|\s+$', '', 'g')) AS f FROM g),
+    r AS (SELECT raw_id, g, CASE
         WHEN NOT whole THEN 'broken_quote' WHEN n <> 18 THEN 'column_count'
         WHEN f[7] <> '' AND NOT regexp_full_match(f[7], 'SI-[A-Z][A-Z]-[A-H](?:[1-9]|1[0-2])') THEN 'rna_index'
         WHEN NOT regexp_full_match(f[11], 'P[0-9]{{5}}') THEN 'puck_id'
-        WHEN f[12] <> '' AND NOT (regexp_full_match(f[12], '[0-9]{{8}}_[A-Z0-9]+') AND try_strptime(left(f[12], 8), '%Y%m%d') IS NOT NULL) THEN 'merge_bcl' END AS reason FROM t)
-    SELECT raw_id, reason FROM r WHERE reason IS NOT NULL
-    """,
-)
+        WHEN f[12] <> '' AND NOT (regexp_full_match(f[12], '[0-9]{{8}}_[A-Z0-9]+') AND try_strptime(left(f[12], 8), '%Y%m%d') IS NOT NULL) THEN 'merge_bcl' END AS reason FROM t)"""
+
+
+@query("p4_found", f"{_SHEET} SELECT raw_id, reason FROM r WHERE reason IS NOT NULL")
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return sheet_lines.bad_lines(table(spark, sf, "metadata_raw"))
 
 
-@query("p4_rows")
+@query("p4_rows", f"{_SHEET} SELECT raw_id, " + ", ".join(f"g[{k}] AS {c}" for k, c in enumerate(sheet_lines.FIELD_NAMES, 1)) + " FROM r WHERE reason IS NULL")
 def p4_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sheet_lines.good_rows(table(spark, sf, "metadata_raw"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -154,7 +156,7 @@ _MEDIAN = """(SELECT cb_index, cluster, CASE WHEN lo IS NULL THEN hi WHEN hi IS
     (SELECT cb_index, cluster, {v}, (sum(umi) OVER (PARTITION BY cb_index, cluster ORDER BY {v}, i ROWS UNBOUNDED PRECEDING) - umi / 2.0::DOUBLE) / sum(umi) OVER (PARTITION BY cb_index, cluster) AS mid FROM pf WHERE cluster > 0) GROUP BY ALL))"""
 
 
-def _profiled(eps: float, min_pts: int) -> list[str]:
+def _profiled(eps: float, min_pts: int, floor: int = UMI_FLOOR) -> list[str]:
     return [
         *_labels((eps,), (min_pts,)),
         "cr AS (SELECT cb_index, i, dense_rank() OVER (PARTITION BY cb_index ORDER BY low) AS cluster FROM lb)",
@@ -162,7 +164,7 @@ def _profiled(eps: float, min_pts: int) -> list[str]:
         "pf AS (SELECT nd.*, coalesce(cr.cluster, bo.cluster, 0) AS cluster FROM nd LEFT JOIN cr USING (cb_index, i) LEFT JOIN bo USING (cb_index, i))",
         f"md AS (SELECT * FROM {_MEDIAN.format(v='x_um')} JOIN {_MEDIAN.format(v='y_um')} USING (cb_index, cluster))",
         "ck AS (SELECT cb_index, cluster, count(DISTINCT (x_um, y_um)) AS spots, max(umi) AS top FROM pf WHERE cluster > 0 GROUP BY 1, 2)",
-        f"gd AS (SELECT * FROM ck JOIN md USING (cb_index, cluster) WHERE spots > 1 AND top > {UMI_FLOOR})",
+        f"gd AS (SELECT * FROM ck JOIN md USING (cb_index, cluster) WHERE spots > 1 AND top > {floor})",
         "ds AS (SELECT a.cb_index, max(sqrt((a.x_um - b.x_um) ** 2 + (a.y_um - b.y_um) ** 2)) AS d, count(DISTINCT a.cluster) AS n FROM gd a JOIN gd b USING (cb_index) GROUP BY 1)",
         "bs AS (SELECT pf.cb_index, pf.cluster FROM pf SEMI JOIN gd USING (cb_index, cluster) QUALIFY row_number() OVER (PARTITION BY pf.cb_index ORDER BY umi DESC, i) = 1)",
         """ag AS (SELECT cb_index, max(cluster) AS m, count(*) AS sb_total, sum(umi)::BIGINT AS sb_umi_total, count(*) FILTER (cluster = 0) AS sb_noise, coalesce(sum(umi) FILTER (cluster = 0), 0)::BIGINT AS sb_umi_noise,
@@ -221,7 +223,21 @@ def _rescued(spark: SparkSession, sf: str) -> DataFrame:
     return P.rescue(first, P.profile(lost, PROFILE_EPS, 2, 0, CLOSE))
 
 
-@query("zero_rescue")
+def _again(parts: list[str]) -> list[str]:
+    """The steps after the pairs once more, under names of their own."""
+    own = re.compile(r"\b(ow|co|ed|re|lb|cr|bo|pf|md|ck|gd|ds|bs|ag|ln|po|sv)\b(?! \()")
+    return [own.sub(r"\1_2", p) for p in parts[len(_NODES) + 1 :]]
+
+
+_RESCUED = [*_POSITIONS, *_again(_profiled(PROFILE_EPS, 2, 0))]
+_USE = "sv.number_clusters = 0 AND coalesce(po_2.number_clusters, 0) > 0"
+
+
+@query(
+    "zero_rescue",
+    _recursive(_RESCUED, f"""SELECT cb_index, round(CASE WHEN {_USE} THEN po_2.x_um ELSE sv.x_um END + {NUDGE}, 4) AS x_um, round(CASE WHEN {_USE} THEN po_2.y_um ELSE sv.y_um END + {NUDGE}, 4) AS y_um,
+        CASE WHEN {_USE} THEN po_2.number_clusters ELSE sv.number_clusters END AS number_clusters, number_clusters_o, CASE WHEN {_USE} THEN 2 ELSE rep_status END::INT AS rep_status FROM sv LEFT JOIN po_2 USING (cb_index)"""),
+)
 def zero_rescue(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_rescued(spark, sf))
 
