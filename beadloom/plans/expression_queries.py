@@ -127,3 +127,18 @@ def class_samples(spark: SparkSession, sf: str) -> DataFrame:
     p = P.cluster_places(P.clusters(V.cell_beads(spark, sf), Q.EPS, Q.MIN_PTS)).select("cb_index", F.least("clusters", F.lit(5)).alias("kind"))
     nth = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("cb_index"), "cb_index"))
     return p.withColumn("nth", nth).filter("nth <= 12")
+
+
+_Z = "(u - n_in * n_out / 2.0::DOUBLE) / sqrt(n_in * n_out * (n_in + n_out + 1) / 12.0::DOUBLE)"
+
+
+@query("marker_genes", with_([*_RANKS, "us AS (SELECT grp, gene, sum(r) - count(*) * (count(*) + 1) / 2.0::DOUBLE AS u, count(*) AS n_in, any_value(c) - count(*) AS n_out FROM rk GROUP BY 1, 2 HAVING max(value) > 0)"],
+    f"SELECT grp, gene, round({_Z}, 4) AS z, row_number() OVER (PARTITION BY grp ORDER BY round({_Z}, 4) DESC, gene) AS place FROM us WHERE {_Z} > 0 QUALIFY place <= 5"))
+def marker_genes(spark: SparkSession, sf: str) -> DataFrame:
+    """The five genes of each group that stand highest above the rest: a top-k report."""
+    ex = cut(expression(spark, sf))
+    s = E.rank_sums(E.log_normal(ex), ex.select("cell", (F.col("cell") % 3).cast("int").alias("grp")).distinct())
+    both = F.col("n_in") * F.col("n_out")
+    z = (F.col("u") - both / 2.0) / F.sqrt(both * (F.col("n_in") + F.col("n_out") + 1) / 12.0)
+    w = Window.partitionBy("grp").orderBy(F.desc("z"), "gene")
+    return s.select("grp", "gene", F.round(z, 4).alias("z")).filter("z > 0").withColumn("place", F.row_number().over(w).cast("long")).filter("place <= 5")

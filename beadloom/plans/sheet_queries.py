@@ -339,3 +339,28 @@ def metric_labels(spark: SparkSession, sf: str) -> DataFrame:
 def partition_agreement(spark: SparkSession, sf: str) -> DataFrame:
     """Whether all rows of a run agree on one puck and one assay."""
     return S.normal(_meta(spark, sf)).groupBy("bcl").agg((F.min("puck_id") == F.max("puck_id")).alias("one_puck"), (F.min("chemistry") == F.max("chemistry")).alias("one_assay"), F.count("*").alias("n"))
+
+
+@query("low_valid_runs", "SELECT bcl, count(*) AS n, round(count(*) FILTER (cb_index > 0) * 100.0::DOUBLE / count(*), 4) AS pct_valid FROM molecules GROUP BY 1 HAVING count(*) FILTER (cb_index > 0) * 2 < count(*)")
+def low_valid_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of which less than half the rows belong to called cells."""
+    n = table(spark, sf, "molecules").groupBy("bcl").agg(F.count("*").alias("n"), F.count_if(F.col("cb_index") > 0).alias("v"))
+    return n.filter(F.col("v") * 2 < F.col("n")).select("bcl", "n", F.round(F.col("v") * 100.0 / F.col("n"), 4).alias("pct_valid"))
+
+
+@query("bead_examples", with_(V.BEADS[:1], "SELECT sb, count(*) AS n FROM pk GROUP BY 1 HAVING count(*) > 1 ORDER BY sb LIMIT 5"))
+def bead_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """The first five repeated barcodes, as a report shows them."""
+    from beadloom.plans.molecule_queries import duplicate_beads
+
+    return duplicate_beads(spark, sf).select("sb", "n").orderBy("sb").limit(5)
+
+
+_LISTS = "ls AS (SELECT row_id, '[' || coalesce(sample_name, '') || ', ' || coalesce(puck_id, '') || ',]' AS list FROM example_metadata)"
+
+
+@query("sample_lists", with_([_LISTS], "SELECT row_id, item FROM (SELECT row_id, trim(unnest(string_split(regexp_replace(list, '^\\[|\\]$', '', 'g'), ','))) AS item FROM ls) WHERE item <> ''"))
+def sample_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Bracketed lists taken apart, empty parts left out."""
+    text = F.concat(F.lit("["), F.coalesce("sample_name", F.lit("")), F.lit(", "), F.coalesce("puck_id", F.lit("")), F.lit(",]"))
+    return _meta(spark, sf).select("row_id", F.explode(F.split(F.regexp_replace(text, r"^\[|\]$", ""), ",")).alias("item")).select("row_id", F.trim("item").alias("item")).filter("item <> ''")
