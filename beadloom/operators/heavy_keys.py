@@ -71,7 +71,7 @@ def balanced_totals(df: DataFrame, keys: list[str], sums: list[str], n: int | No
             if rows >= _FOLD_ROWS:
                 kept, waiting, rows = fold(), [], 0
                 if kept.num_rows > _FOLD_ROWS:  # mostly distinct keys: hand them on, a later state of the key is stitched
-                    yield from kept.append_column("turn", pa.repeat(pa.scalar(turn, pa.int32()), kept.num_rows)).to_batches()
+                    yield from kept.append_column("turn", pa.repeat(pa.scalar(turn, pa.int32()), kept.num_rows)).select(state.names).to_batches()
                     kept = None
         if waiting or kept is not None:
             out = fold()

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beadloom.runtime import cut
+
 #: Cell coordinates are clamped to 30 bits and moved to be non-negative.
 _HALF = 1 << 29
 
@@ -31,18 +33,16 @@ def z_order(ix: Column, iy: Column) -> Column:
     return spread(ix).bitwiseOR(F.shiftleft(spread(iy), 1))
 
 
-def z_ranges(codes: Column) -> Column:
-    """Sorted array of cell numbers → array of closed ranges ``(lo, hi)`` of consecutive numbers."""
-    kind = "array<struct<lo:bigint,hi:bigint>>"
-
-    def take(acc: Column, c: Column) -> Column:
-        last = F.element_at(acc, -1)
-        grown = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["lo"].alias("lo"), c.alias("hi"))))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["hi"] == c - 1), grown).otherwise(
-            F.concat(acc, F.array(F.struct(c.alias("lo"), c.alias("hi"))))
-        ).cast(kind)
+def z_ranges(cells: str) -> Column:
+    """Column of sorted distinct cell numbers → array of closed ranges ``(lo, hi)`` of consecutive numbers.
 
-    return F.aggregate(F.array_sort(codes), F.array().cast(kind), take)
+    A range begins where the number before is not in the array and ends where the next is not. The numbers must be a column of
+    their own, so that they are made once.
+    """
+    c = F.col(cells)
+    lo = F.filter(c, lambda x, i: (i == 0) | (F.get(c, i - 1) != x - 1))
+    hi = F.filter(c, lambda x, i: (i == F.size(c) - 1) | (F.get(c, i + 1) != x + 1))
+    return F.arrays_zip(lo.alias("lo"), hi.alias("hi"))
 
 
 def _has_place(x: str = "x", y: str = "y") -> Column:
@@ -51,10 +51,11 @@ def _has_place(x: str = "x", y: str = "y") -> Column:
     return ~F.isnan(x) & ~F.isnan(y) & (F.abs(F.col(x)) < inf) & (F.abs(F.col(y)) < inf)
 
 
-def box_ranges(x0: Column, x1: Column, y0: Column, y1: Column, side: float) -> Column:
-    """Ranges of the cells that the closed rectangle touches."""
-    xs, ys = F.sequence(grid(x0, side), grid(x1, side)), F.sequence(grid(y0, side), grid(y1, side))
-    return z_ranges(F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda b: z_order(a, b)))))
+def box_cells(x0: Column, x1: Column, y0: Column, y1: Column, side: float) -> Column:
+    """Sorted numbers of the cells that the closed rectangle touches; digits of each row and column are spread once."""
+    xs = F.transform(F.sequence(grid(x0, side), grid(x1, side)), lambda a: spread(a))
+    ys = F.transform(F.sequence(grid(y0, side), grid(y1, side)), lambda b: F.shiftleft(spread(b), 1))
+    return F.array_sort(F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda b: a.bitwiseOR(b)))))
 
 
 def near_pairs(points: DataFrame, radius: float, group: str, ident: str, block_bits: int = 4) -> DataFrame:
@@ -67,9 +68,9 @@ def near_pairs(points: DataFrame, radius: float, group: str, ident: str, block_b
     p = points.filter(_has_place() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(ident).alias("id"), "x", "y")
     cells = p.withColumn("code", z_order(grid(F.col("x"), side), grid(F.col("y"), side)))
     right = cells.select(F.col("g"), F.shiftright("code", block_bits).alias("block"), "code", F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    ranges = box_ranges(F.col("x") - radius, F.col("x") + radius, F.col("y") - radius, F.col("y") + radius, side)
-    cut = p.select("g", F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.inline(ranges))
-    left = cut.select("g", "a", "ax", "ay", "lo", "hi", F.explode(F.sequence(F.shiftright("lo", block_bits), F.shiftright("hi", block_bits))).alias("block"))
+    disc = box_cells(F.col("x") - radius, F.col("x") + radius, F.col("y") - radius, F.col("y") + radius, side)
+    covered = p.select("g", F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), disc.alias("cells"))
+    left = covered.select("g", "a", "ax", "ay", F.inline(z_ranges("cells"))).select("g", "a", "ax", "ay", "lo", "hi", F.explode(F.sequence(F.shiftright("lo", block_bits), F.shiftright("hi", block_bits))).alias("block"))
     gap2 = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
     met = left.join(right, ["g", "block"]).filter((F.col("a") < F.col("b")) & F.col("code").between(F.col("lo"), F.col("hi")))
     return met.select(F.col("g").alias(group), "a", "b", gap2.alias("gap2")).filter(F.col("gap2") <= radius * radius)
@@ -81,7 +82,8 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, side: float, block_bits
     ``points``: ``g, ident, x, y``; ``boxes``: ``g, box, x0, x1, y0, y1``. A rectangle with a null bound or
     with its bounds exchanged holds nothing. A point on an edge shared by two rectangles is in both.
     """
-    b = boxes.filter("x0 <= x1 AND y0 <= y1").select("g", "box", "x0", "x1", "y0", "y1", F.inline(box_ranges(F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"), side)))
+    b = boxes.filter("x0 <= x1 AND y0 <= y1").withColumn("cells", box_cells(F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"), side))
+    b = b.select("g", "box", "x0", "x1", "y0", "y1", F.inline(z_ranges("cells")))
     b = b.withColumn("block", F.explode(F.sequence(F.shiftright("lo", block_bits), F.shiftright("hi", block_bits))))
     p = points.filter(_has_place()).select("g", "ident", "x", "y", z_order(grid(F.col("x"), side), grid(F.col("y"), side)).alias("code"))
     p = p.withColumn("block", F.shiftright("code", block_bits))
@@ -103,7 +105,8 @@ def close_beads(puck: DataFrame, radius: float = 2.0) -> DataFrame:
     one = rows.groupBy(*same).agg(F.min("bead_id").alias("bead_id"), F.count("*").alias("n"))
     told = one.select("puck_index", F.struct(F.col("bead_id").alias("id"), "sb", "n").alias("who"), "x", "y")
     pairs = near_pairs(told, radius, "puck_index", "who").filter(F.col("a.sb") != F.col("b.sb"))
-    pairs = pairs.select(F.col("a.id").alias("ra"), F.col("a.n").alias("na"), F.col("b.id").alias("rb"), F.col("b.n").alias("nb"))
+    # far fewer than rows, and read three times below
+    pairs = cut(pairs.select(F.col("a.id").alias("ra"), F.col("a.n").alias("na"), F.col("b.id").alias("rb"), F.col("b.n").alias("nb")))
     lone = pairs.filter("na = 1 AND nb = 1").select(F.col("ra").alias("p"), F.col("rb").alias("q"))
     many = one.filter("n > 1").drop("n").withColumnRenamed("bead_id", "rep")
     members = rows.join(many, same).select("rep", "bead_id")
