@@ -8,7 +8,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beadloom.functions.seq import BARCODE, HALF, deletions, substitutions
+from beadloom.functions.seq import BARCODE, HALF, deletions
+from beadloom.runtime import parts
+
+
+def _changed(barcodes: DataFrame, length: int) -> DataFrame:
+    """``barcodes`` (with ``barcode``) and ``form, pos``: every string with one other base of ACGTN.
+
+    Two generators and a filter stay in generated code. A whitelist file is small and its forms are many: it is spread
+    over all tasks first.
+    """
+    spread = barcodes.repartition(parts(barcodes.sparkSession), "barcode")
+    at = spread.select("*", F.explode(F.array(*map(F.lit, range(1, length + 1)))).alias("pos"))
+    each = at.select("*", F.explode(F.array(*map(F.lit, "ACGTN"))).alias("base")).filter(F.col("base") != F.substr("barcode", "pos", F.lit(1)))
+    return each.withColumn("form", F.overlay("barcode", "base", F.col("pos"), F.lit(1))).drop("base")
 
 
 def bead_dictionary(beads: DataFrame) -> DataFrame:
@@ -20,7 +33,7 @@ def bead_dictionary(beads: DataFrame) -> DataFrame:
     b = beads.filter(F.length("barcode") == BARCODE).select("sb_index", "barcode", F.length(F.regexp_replace("barcode", "[^N]", "")).alias("n"))
     clean, one_n = b.filter("n = 0"), b.filter("n = 1")
     halves = lambda f: (F.substring(f, 1, HALF).alias("sb1"), F.substring(f, HALF + 1, BARCODE - HALF).alias("sb2"))
-    changed = clean.select("sb_index", F.inline(substitutions("barcode", BARCODE))).select(*halves("form"), "sb_index", "pos")
+    changed = _changed(clean.select("sb_index", "barcode"), BARCODE).select(*halves("form"), "sb_index", "pos")
     shorter = clean.select("sb_index", "barcode", F.inline(deletions(F.substring("barcode", 1, HALF), HALF))).select(
         F.col("form").alias("sb1"), F.substring("barcode", HALF + 1, BARCODE - HALF).alias("sb2"), "sb_index", (-F.col("pos")).alias("pos")
     )
@@ -67,7 +80,7 @@ def cell_matches(observed: DataFrame, whitelist: DataFrame, length: int) -> Data
     whitelist only, so 64 rows per whitelist entry meet the observed barcodes by equality.
     """
     exact = whitelist.select("barcode", F.col("cell").alias("own"))
-    near = whitelist.select("cell", F.inline(substitutions("barcode", length))).groupBy(F.col("form").alias("barcode")).agg(F.count("*").alias("n"), F.min("cell").alias("near"))
+    near = _changed(whitelist.select("cell", "barcode"), length).groupBy(F.col("form").alias("barcode")).agg(F.count("*").alias("n"), F.min("cell").alias("near"))
     met = observed.join(exact, "barcode", "left").join(near, "barcode", "left")
     match = F.when(F.col("own").isNotNull(), "exact").when(F.col("n") == 1, "HD1").when(F.col("n") > 1, "HD1ambig").otherwise("none")
     return met.select("cb_index", match.alias("match"), F.coalesce("own", F.when(F.col("n") == 1, F.col("near"))).alias("cell"))
