@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from beadloom.functions.seq import BARCODE, LINKER, UMI, dna, umi_decode
 from beadloom.operators import molecules as M
-from beadloom.runtime import table
+from beadloom.runtime import spread, table
 
 #: The linker with one and with two bases exchanged, and with one left out.
 ONE_OFF, TWO_OFF, SHORT = LINKER[:4] + "A" + LINKER[5:], LINKER[:4] + "A" + LINKER[5:10] + "T" + LINKER[11:], LINKER[:9] + LINKER[10:]
@@ -27,7 +27,7 @@ def sql_umi(v: str) -> str:
 
 def reads(spark: SparkSession, sf: str) -> DataFrame:
     """``pair_id, cb_index, umi_2bit, sb_index, kind, cell, r1, r2``."""
-    m = table(spark, sf, "molecules").filter("cb_index IS NOT NULL AND sb_index IS NOT NULL")
+    m = spread(table(spark, sf, "molecules").filter("cb_index IS NOT NULL AND sb_index IS NOT NULL").select("cb_index", "umi_2bit", "sb_index", "reads"))
     sb = table(spark, sf, "sb_list").withColumnRenamed("barcode", "sb")
     cb = table(spark, sf, "cb_list").withColumnRenamed("barcode", "known")
     kind = (F.col("umi_2bit") * 7 + F.col("sb_index") * 3 + F.coalesce("reads", F.lit(0))) % 24

@@ -48,6 +48,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all of the session's shuffle partitions if it has fewer, for narrow rows that much is computed from; else as it is."""
+    n = parts(df.sparkSession)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def beside(one: DataFrame, other: DataFrame) -> DataFrame:
     """Columns of ``other``, which has a single row, added to every row of ``one``: a scalar subquery, not a join."""
     told = other.select(F.struct(*other.columns).alias("told")).scalar()
