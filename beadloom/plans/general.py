@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beadloom.operators import heavy_keys, packed_fields, proximity, sheet_lines
@@ -59,6 +59,41 @@ def p2_in_region(spark: SparkSession, sf: str) -> DataFrame:
     return proximity.points_in_boxes(points, boxes, 20.0).withColumnRenamed("ident", "bead_id")
 
 
+#: Tiles a side that each puck's extent is cut into.
+TILES = 4
+
+
+@query(
+    "p2_in_tiles",
+    f"""
+    WITH p AS (SELECT * FROM puck WHERE puck_index IS NOT NULL AND isfinite(x) AND isfinite(y)),
+    e AS (SELECT puck_index AS g, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM p GROUP BY 1),
+    k AS (SELECT unnest(range({TILES})) AS k),
+    b AS (SELECT g, g::BIGINT * {TILES**2} + i.k * {TILES} + j.k AS box, lx + (hx - lx) * i.k / {TILES} AS x0, CASE WHEN i.k = {TILES - 1} THEN hx ELSE lx + (hx - lx) * (i.k + 1) / {TILES} END AS x1,
+                 ly + (hy - ly) * j.k / {TILES} AS y0, CASE WHEN j.k = {TILES - 1} THEN hy ELSE ly + (hy - ly) * (j.k + 1) / {TILES} END AS y1 FROM e, k i, k j)
+    SELECT bead_id, box FROM p JOIN b ON puck_index = g WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1
+    """,
+)
+def p2_in_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """A region search over every puck: the tiles of each puck's extent; a bead on an edge is in each tile it touches."""
+    puck = table(spark, sf, "puck")
+    placed = puck.filter("puck_index IS NOT NULL AND abs(x) < double('inf') AND abs(y) < double('inf')")
+    ends = placed.groupBy(F.col("puck_index").alias("g")).agg(F.min("x").alias("lx"), F.max("x").alias("hx"), F.min("y").alias("ly"), F.max("y").alias("hy"))
+    steps = F.sequence(F.lit(0), F.lit(TILES - 1))
+    cells = ends.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
+
+    def edge(a: str, k: str, upper: bool) -> Column:
+        lo, hi, n = F.col(f"l{a}"), F.col(f"h{a}"), F.col(k) + int(upper)
+        return F.when(n == TILES, hi).otherwise(lo + (hi - lo) * n / TILES)
+
+    boxes = cells.select(
+        "g", (F.col("g").cast("long") * TILES**2 + F.col("i") * TILES + F.col("j")).alias("box"),
+        edge("x", "i", False).alias("x0"), edge("x", "i", True).alias("x1"), edge("y", "j", False).alias("y0"), edge("y", "j", True).alias("y1"),
+    )
+    points = puck.select(F.col("puck_index").alias("g"), F.col("bead_id").alias("ident"), "x", "y")
+    return proximity.points_in_boxes(points, boxes, 20.0).withColumnRenamed("ident", "bead_id")
+
+
 _CELLS = " UNION ALL ".join(f"SELECT row_id, '{f}' AS field_name, {f} AS cell FROM example_metadata" for f in PACKED)
 _BLANK = r"^[\s ]+|[\s ]+$"
 
