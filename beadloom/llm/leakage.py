@@ -8,6 +8,10 @@ substitutions and the longest run of equal words. Every exact run of at least ``
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,13 +57,8 @@ def longest_run(flags: Column) -> Column:
     return step["best"]
 
 
-def overlaps(documents: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS[:1]) -> DataFrame:
-    """Aligned overlaps of documents and items: ``doc_id, item_id, shift, overlap_words, equal_words, exact_run``.
-
-    ``documents`` has ``doc_id, text``, ``items`` has ``item_id, text``. One row per document, item and alignment that some
-    seed hits; ``overlap_words`` is what both texts have side by side under it. A null text and one of fewer words than a
-    mask has places hit nothing; copies of a document are each reported; empty inputs give no rows.
-    """
+def _aligned(documents: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """``doc_id, item_id, shift, same``: for each alignment that some seed hits, whether the words side by side are equal."""
     span = len(masks[0])
     iw = items.select("item_id", words("text").alias("w")).filter(F.size("w") >= span)
     hashes = seeds(iw, ["item_id"], masks).select("item_id", F.col("at").alias("item_at"), "seed")
@@ -74,13 +73,26 @@ def overlaps(documents: DataFrame, items: DataFrame, masks: tuple[str, ...] = MA
     first, last = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("iw"), F.size("dw") - F.col("shift")) - 1
     # the stretch of the item that lies on the document under this shift
     flags = F.transform(F.sequence(first, last), lambda i: F.element_at("iw", i + 1) == F.element_at("dw", i + F.col("shift") + 1))
-    told = met.select("doc_id", "item_id", "shift", flags.alias("same"))
-    return told.select(
+    return met.select("doc_id", "item_id", "shift", flags.alias("same"))
+
+
+def _told(aligned: DataFrame) -> DataFrame:
+    return aligned.select(
         "doc_id", "item_id", "shift", F.size("same").alias("overlap_words"),
         F.size(F.filter("same", lambda x: x)).alias("equal_words"), longest_run(F.col("same")).alias("exact_run"),
     )
 
 
+def overlaps(documents: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS[:1]) -> DataFrame:
+    """Aligned overlaps of documents and items: ``doc_id, item_id, shift, overlap_words, equal_words, exact_run``.
+
+    ``documents`` has ``doc_id, text``, ``items`` has ``item_id, text``. One row per document, item and alignment that some
+    seed hits; ``overlap_words`` is what both texts have side by side under it. A null text and one of fewer words than a
+    mask has places hit nothing; copies of a document are each reported; empty inputs give no rows.
+    """
+    return _told(_aligned(documents, items, masks))
+
+
 def leaks(documents: DataFrame, items: DataFrame, least_run: int = 13) -> DataFrame:
     """``doc_id, item_id`` of documents and items with a common run of at least ``least_run`` words.
 
@@ -91,8 +103,55 @@ def leaks(documents: DataFrame, items: DataFrame, least_run: int = 13) -> DataFr
     return overlaps(documents, items).filter(F.col("exact_run") >= least_run).select("doc_id", "item_id").distinct()
 
 
+def best_stretch(same: np.ndarray, least_words: int, least_equal: float) -> tuple[int, int, int]:
+    """``score, at, to`` of the best stretch of ``least_words`` flags or more, its first place and the place after its last.
+
+    The score is ``equal - least_equal * words`` in millionths, so it is 0 or more just where the share is reached; some stretch
+    reaches it if and only if the best one does. Ties go to the longer stretch, then to the earlier. Of too few flags the score is -1.
+    """
+    n = len(same) - least_words + 1
+    if n < 1:
+        return -1, 0, 0
+    sums = np.append(0, np.cumsum(np.where(same, 1_000_000, 0) - round(least_equal * 1_000_000)))
+    # the lowest sum at least ``least_words`` before an end begins the best stretch up to it
+    low = np.minimum.accumulate(sums[:n])
+    new = np.append(True, low[1:] < low[:-1])
+    low_at = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    score, size = sums[least_words:] - low, np.arange(n) + least_words - low_at
+    k = int(np.lexsort((-size, -score))[0])
+    return int(score[k]), int(low_at[k]), k + least_words
+
+
+def _run_of(same: np.ndarray) -> int:
+    gaps = np.flatnonzero(~np.concatenate([[False], same, [False]]))
+    return int(np.diff(gaps).max() - 1)
+
+
 def near_leaks(documents: DataFrame, items: DataFrame, least_equal: float = 0.8, least_words: int = 20) -> DataFrame:
-    """Overlaps with substitutions: at least ``least_words`` side by side, ``least_equal`` of them equal, from all masks; the best alignment of each pair."""
-    found = overlaps(documents, items, MASKS).filter((F.col("overlap_words") >= least_words) & (F.col("equal_words") >= F.col("overlap_words") * least_equal))
+    """Passages with substitutions, of whole items or parts, from all masks; the best alignment of each document and item.
+
+    Of each alignment the best stretch of at least ``least_words`` side by side counts if ``least_equal`` of it are equal,
+    whatever stands beside it. An exact run as long as the masks counts as well, so nothing that ``leaks`` finds is missing.
+    """
+    span = len(MASKS[0])
+    # a stretch that counts has at least so many equal words
+    few = min(span, least_words * least_equal)
+    some = _aligned(documents, items, MASKS).filter(F.size(F.filter("same", lambda x: x)) >= few)
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            out = []
+            for d, i, shift, flags in zip(pdf["doc_id"], pdf["item_id"], pdf["shift"], pdf["same"]):
+                same = np.asarray(flags, dtype=bool)
+                score, at, to = best_stretch(same, least_words, least_equal)
+                if score >= 0:
+                    part = same[at:to]
+                    out.append((d, i, shift, len(part), int(part.sum()), _run_of(part)))
+                elif (n := _run_of(same)) >= span:
+                    out.append((d, i, shift, n, n, n))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "shift", "overlap_words", "equal_words", "exact_run"])
+
+    kinds = dict(some.dtypes)
+    found = some.mapInPandas(run, f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, shift int, overlap_words int, equal_words int, exact_run int")
     best = F.expr("row_number() OVER (PARTITION BY doc_id, item_id ORDER BY equal_words DESC, overlap_words, shift)")
     return found.withColumn("place", best).filter("place = 1").select("doc_id", "item_id", "overlap_words", "equal_words", "exact_run")
