@@ -103,3 +103,9 @@ def expected_saturation(m: DataFrame, fractions: list[float]) -> DataFrame:
     n = F.round(k * v * F.col("fraction"))
     missed = F.aggregate(F.sequence(F.lit(0), F.col("k").cast("int") - 1), F.lit(1.0), lambda p, i: p * F.greatest(F.lit(0.0), (k * v - n - i) / (k * v - i)))
     return each.groupBy("fraction").agg(F.sum(n).cast("long").alias("reads"), F.sum(v * (1 - missed)).alias("umis"))
+
+
+def under_cap(counts: DataFrame, cap: int) -> DataFrame:
+    """Cell-bead rows of beads with fewer than ``cap`` UMIs over all cells."""
+    total = F.sum("umi").over(Window.partitionBy("sb_index"))
+    return counts.withColumn("t", total).filter(F.col("t") < cap).drop("t")

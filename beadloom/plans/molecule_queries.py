@@ -307,6 +307,16 @@ def bead_umi_cap(spark: SparkSession, sf: str) -> DataFrame:
     return _counts(spark, sf).withColumn("t", total).filter("t < 8").drop("t")
 
 
+#: Beads of that many UMIs or more leave in the reference's profile path.
+UMI_CAP = 256
+
+
+@query("bead_umi_cap_full", with_(V.CELL_BEADS, f"SELECT cu.cb_index, cu.sb_index, cu.umi FROM cu JOIN pb USING (sb_index) WHERE pb.umi < {UMI_CAP}"))
+def bead_umi_cap_full(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile path's cap at the reference's value; ``bead_umi_cap`` has one for small tables."""
+    return M.under_cap(_counts(spark, sf), UMI_CAP)
+
+
 @query("cell_bead_umi", with_(V.CELL_BEADS, "SELECT cb_index, round(x_um, 6) AS x_um, round(y_um, 6) AS y_um, umi FROM cell_bead"))
 def cell_bead_umi(spark: SparkSession, sf: str) -> DataFrame:
     return V.cell_beads(spark, sf).select("cb_index", F.round("x_um", 6).alias("x_um"), F.round("y_um", 6).alias("y_um"), "umi")

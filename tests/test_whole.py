@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from beadloom.plans import general
+from beadloom.operators import molecules
+from beadloom.plans import general, molecule_queries
 
 
 def save(spark, folder, **tables):
@@ -20,3 +21,9 @@ def test_every_placed_bead_of_every_puck_is_in_a_tile(spark, tmp_path):
     got = general.QUERIES["p2_in_tiles"](spark, save(spark, tmp_path, puck=(rows, "bead_id long, sb string, x double, y double, puck_index int")))
     assert {r["bead_id"] for r in got.select("bead_id").distinct().collect()} == {*range(700), 800}
     assert got.filter((F.col("bead_id") < 700) & (F.floor(F.col("box") / 16) != F.col("bead_id") % 7 + 1)).count() == 0
+
+
+def test_beads_leave_at_the_cap_of_the_reference(spark):
+    rows = spark.createDataFrame([(1, 1, 8), (1, 2, 200), (2, 2, 55), (1, 3, 200), (2, 3, 56)], "cb_index long, sb_index long, umi long")
+    got = molecules.under_cap(rows, molecule_queries.UMI_CAP).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 8), (1, 2, 200), (2, 2, 55)]
