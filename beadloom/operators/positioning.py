@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beadloom.operators import kernels
-from beadloom.runtime import parts
+from beadloom.runtime import cut, parts
 
 #: The reference search grid, density width, radius and accepted ratio of both peaks.
 EPS, FIRST_MIN_PTS, LAST_MIN_PTS = (50.0, 100.0), 3, 42
@@ -227,3 +227,25 @@ def rescue(salvaged: DataFrame, again: DataFrame) -> DataFrame:
         "cb_index", F.when(use, F.col("nx")).otherwise(F.col("x_um")).alias("x_um"), F.when(use, F.col("ny")).otherwise(F.col("y_um")).alias("y_um"),
         F.when(use, F.col("nn")).otherwise(F.col("number_clusters")).alias("number_clusters"), "number_clusters_o", F.when(use, 2).otherwise(F.col("rep_status")).alias("rep_status"),
     )
+
+
+# --- both paths with the parameters their search finds ---
+
+
+def placed_at_best(beads: DataFrame) -> DataFrame:
+    """``placement`` of all cells with the ``eps`` and ``min_pts`` that ``best_parameters`` finds; ``beads`` is read several times."""
+    eps, min_pts, _ = best_parameters(beads)
+    return placement(cluster_places(clusters(beads, eps, min_pts)), peaks(beads))
+
+
+def best_min_pts(beads: DataFrame, eps: float, values: tuple[int, ...]) -> int:
+    """The first of ``values`` with the largest share (in hundredths of a percent) of cells with one cluster; the first of all without cells."""
+    share = {r["min_pts"]: round(100.0 * r["n_one"] / r["n_cells"], 2) for r in sweep(beads, (eps,), values).collect()}
+    return max(values, key=lambda m: share.get(m, 0.0))
+
+
+def profile_at_best(beads: DataFrame, eps: float, values: tuple[int, ...], umi_floor: int = 1, close: float = 100.0) -> DataFrame:
+    """Profile, salvage and rescue; ``min_pts`` is swept over all cells, and over the cells without a cluster once more."""
+    first = cut(salvage(profile(beads, eps, best_min_pts(beads, eps, values), umi_floor, close)))
+    lost = cut(beads.join(first.filter("number_clusters = 0").select("cb_index"), "cb_index", "left_semi"))
+    return rescue(first, profile(lost, eps, best_min_pts(lost, eps, values), 0, close))

@@ -271,3 +271,22 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     p = _profile(spark, sf)
     stats = [f for c in _MEANS for f in (F.round(F.avg(c), 4).alias(f"mean_{c}"), F.round(F.median(c), 4).alias(f"median_{c}"))]
     return p.agg(F.count("*").alias("cells"), F.count_if(F.col("number_clusters") == 1).alias("confident"), F.count_if(F.col("number_clusters") >= 1).alias("positioned"), *stats)
+
+
+# --- whole searches, beside the queries above with fixed parameters; recursive SQL is too slow for them ---
+
+_FINAL = ["cb_index", "x_um", "y_um", "x_um_dbscan", "y_um_dbscan", "clusters", "umi", "beads", "x_um_kde", "y_um_kde", "d1", "d2", "ratio"]
+#: Covers the sweeps of all platforms of the reference, which end at 15 to 80.
+PROFILE_GRID = tuple(range(4, 81))
+
+
+@query("final_placement_best")
+def final_placement_best(spark: SparkSession, sf: str) -> DataFrame:
+    """``final_placement`` with the pair that the search finds."""
+    return _rounded(P.placed_at_best(cut(V.cell_beads(spark, sf))).select(*_FINAL))
+
+
+@query("zero_rescue_best")
+def zero_rescue_best(spark: SparkSession, sf: str) -> DataFrame:
+    """``zero_rescue`` with minPts from one sweep over all cells and one over those without a cluster."""
+    return _rounded(P.profile_at_best(cut(V.cell_beads(spark, sf)), PROFILE_EPS, PROFILE_GRID, UMI_FLOOR, CLOSE))

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from beadloom.operators import molecules
+from beadloom.operators import positioning as P
 from beadloom.plans import general, molecule_queries
 
 
@@ -27,3 +28,22 @@ def test_beads_leave_at_the_cap_of_the_reference(spark):
     rows = spark.createDataFrame([(1, 1, 8), (1, 2, 200), (2, 2, 55), (1, 3, 200), (2, 3, 56)], "cb_index long, sb_index long, umi long")
     got = molecules.under_cap(rows, molecule_queries.UMI_CAP).collect()
     assert sorted(tuple(r) for r in got) == [(1, 1, 8), (1, 2, 200), (2, 2, 55)]
+
+
+def test_cells_are_placed_with_the_parameters_of_the_search(spark):
+    """Deep cells: one spot of 60 UMIs, and noise of 5 that a fixed minPts of 4 takes for clusters."""
+    rows = [(c, x, 0.0, u) for c in range(1, 7) for x, u in ((0.0, 30), (10.0, 30), (1000.0, 5), (2000.0, 5))]
+    beads = spark.createDataFrame(rows, "cb_index long, x_um double, y_um double, umi long").cache()
+    assert P.cluster_places(P.clusters(beads, 50.0, 4)).filter("clusters = 3").count() == 6
+    got = P.placed_at_best(beads).collect()
+    assert len(got) == 6 and all(r["clusters"] == 1 and r["x_um_dbscan"] == 5.0 for r in got)
+
+
+def test_lost_cells_get_a_sweep_of_their_own(spark):
+    """Five deep cells set minPts to 6; two shallow ones of 5 UMIs are lost there and found by the second sweep."""
+    deep = [(c, x, 0.0, u) for c in range(1, 6) for x, u in ((0.0, 30), (10.0, 30), (1000.0, 5), (2000.0, 5))]
+    rows = deep + [(c, x, 0.0, u) for c in (8, 9) for x, u in ((0.0, 2), (10.0, 3))]
+    beads = spark.createDataFrame(rows, "cb_index long, x_um double, y_um double, umi long").cache()
+    assert P.best_min_pts(beads, 50.0, tuple(range(4, 81))) == 6
+    got = {r["cb_index"]: (r["number_clusters"], r["rep_status"]) for r in P.profile_at_best(beads, 50.0, tuple(range(4, 81))).collect()}
+    assert got == {**{c: (1, 0) for c in range(1, 6)}, 8: (1, 2), 9: (1, 2)}
