@@ -290,3 +290,17 @@ def final_placement_best(spark: SparkSession, sf: str) -> DataFrame:
 def zero_rescue_best(spark: SparkSession, sf: str) -> DataFrame:
     """``zero_rescue`` with minPts from one sweep over all cells and one over those without a cluster."""
     return _rounded(P.profile_at_best(cut(V.cell_beads(spark, sf)), PROFILE_EPS, PROFILE_GRID, UMI_FLOOR, CLOSE))
+
+
+@query("dbscan_sweep_full")
+def dbscan_sweep_full(spark: SparkSession, sf: str) -> DataFrame:
+    """All 80 pairs of the reference grid."""
+    return P.sweep(V.cell_beads(spark, sf))
+
+
+@query("profile_sweep_full")
+def profile_sweep_full(spark: SparkSession, sf: str) -> DataFrame:
+    """``profile_sweep`` over the grids of all platforms."""
+    s = P.sweep(V.cell_beads(spark, sf), (PROFILE_EPS,), PROFILE_GRID)
+    pct = lambda c, a: F.round(100.0 * F.col(c) / F.col("n_cells"), 2).alias(a)
+    return s.select("eps", "min_pts", pct("n_one", "pct_one"), pct("n_some", "pct_some"))

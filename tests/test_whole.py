@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from beadloom.operators import molecules
 from beadloom.operators import positioning as P
-from beadloom.plans import general, molecule_queries
+from beadloom.plans import general, molecule_queries, position_queries
 
 
 def save(spark, folder, **tables):
@@ -47,3 +47,9 @@ def test_lost_cells_get_a_sweep_of_their_own(spark):
     assert P.best_min_pts(beads, 50.0, tuple(range(4, 81))) == 6
     got = {r["cb_index"]: (r["number_clusters"], r["rep_status"]) for r in P.profile_at_best(beads, 50.0, tuple(range(4, 81))).collect()}
     assert got == {**{c: (1, 0) for c in range(1, 6)}, 8: (1, 2), 9: (1, 2)}
+
+
+def test_sweeps_hold_every_pair(spark, small):
+    got = {(r["eps"], r["min_pts"]) for r in position_queries.QUERIES["dbscan_sweep_full"](spark, small).collect()}
+    assert got == {(e, m) for e in (50.0, 100.0) for m in range(3, 43)}
+    assert {r["min_pts"] for r in position_queries.QUERIES["profile_sweep_full"](spark, small).collect()} == set(range(4, 81))
