@@ -215,6 +215,23 @@ def cb_remap_choice(spark: SparkSession, sf: str) -> DataFrame:
     return met.agg(n("plain").alias("reads_plain"), n("swapped").alias("reads_swapped")).withColumn("remap", F.col("reads_swapped") > F.col("reads_plain"))
 
 
+@query(
+    "cb_remap_choice_all",
+    with_([*V.MOLECULES, f"lib AS (SELECT cb_index, CASE WHEN cb_index % 5 = 0 THEN barcode ELSE {_SWAP} END AS barcode FROM cb_list)", f"wl AS (SELECT barcode, {_SWAP} AS other FROM cb_list)"],
+    """SELECT coalesce(sum(reads) FILTER (barcode IN (SELECT barcode FROM wl)), 0)::BIGINT AS reads_plain, coalesce(sum(reads) FILTER (barcode IN (SELECT other FROM wl)), 0)::BIGINT AS reads_swapped,
+    coalesce(sum(reads) FILTER (barcode IN (SELECT other FROM wl)), 0) > coalesce(sum(reads) FILTER (barcode IN (SELECT barcode FROM wl)), 0) AS remap FROM mol JOIN lib USING (cb_index)"""),
+)
+def cb_remap_choice_all(spark: SparkSession, sf: str) -> DataFrame:
+    """``cb_remap_choice`` over the reads of all called cells; a fifth of the library's barcodes are left as they are."""
+    cb = table(spark, sf, "cb_list")
+    lib = cb.select("cb_index", F.when(F.col("cb_index") % 5 == 0, F.col("barcode")).otherwise(seq.swap_middle("barcode")).alias("barcode"))
+    per_cell = V.matrix(spark, sf).groupBy("cb_index").agg(F.sum("reads").alias("reads")).join(lib, "cb_index")
+    plain, swapped = cb.select("barcode", F.lit(True).alias("plain")), cb.select(seq.swap_middle("barcode").alias("barcode"), F.lit(True).alias("swapped"))
+    met = per_cell.join(plain, "barcode", "left").join(swapped, "barcode", "left")
+    n = lambda c: F.coalesce(F.sum(F.when(F.col(c), F.col("reads"))), F.lit(0))
+    return met.agg(n("plain").alias("reads_plain"), n("swapped").alias("reads_swapped")).withColumn("remap", F.col("reads_swapped") > F.col("reads_plain"))
+
+
 # --- molecules and beads ---
 
 

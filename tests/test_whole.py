@@ -53,3 +53,9 @@ def test_sweeps_hold_every_pair(spark, small):
     got = {(r["eps"], r["min_pts"]) for r in position_queries.QUERIES["dbscan_sweep_full"](spark, small).collect()}
     assert got == {(e, m) for e in (50.0, 100.0) for m in range(3, 43)}
     assert {r["min_pts"] for r in position_queries.QUERIES["profile_sweep_full"](spark, small).collect()} == set(range(4, 81))
+
+
+def test_remap_choice_counts_the_reads_of_every_fifth_cell(spark, small):
+    old, new = (molecule_queries.QUERIES[q](spark, small).first() for q in ("cb_remap_choice", "cb_remap_choice_all"))
+    print("REMAP", old, new)
+    assert new["reads_plain"] > old["reads_plain"] and new["reads_swapped"] >= old["reads_swapped"]
