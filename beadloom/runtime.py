@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -34,17 +37,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names; a folder of this process, removed at its end, only where master and workers are one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="beadloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests, a temporary one is made.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. A cluster that names none is an error, as files of one
+    machine would be lost with it; a local session, as in tests, gets a temporary one. Files of frames that are no longer in use are removed
+    where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as it is in ``local_session``.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="beadloom-"))
+        sc.setCheckpointDir(_checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
