@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -63,6 +64,31 @@ def test_what_speaks_no_language(text, want):
     assert L.plain(text) == want
 
 
+def by_pattern(line):
+    """The rules as one pattern, word by word."""
+    noise = r"(?<![A-Za-z])[ACGTN]{6,}(?![A-Za-z])|[A-Za-z]+(?=-[0-9])|[A-Za-z_]*[0-9][A-Za-z0-9_]*|[^\w\s]|[_\d]"
+    return re.sub(r"\s+", " ", re.sub(noise, " ", line)).strip().lower()
+
+
+def test_lines_by_classes_equal_lines_by_a_pattern():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("ACGTNACGTNab19_-- é.样\t!²Ж\u00a0٣\U00020000İ\n\n") for _ in range(rng.randrange(0, 60))) for _ in range(3000)]
+    got = L.lines_of(texts)
+    want = [(t, n, by_pattern(x)) for t, text in enumerate(texts) for n, x in enumerate((x for x in text.split("\n") if x.strip()), 1)]
+    fold = lambda x: x.replace("i̇", "İ").replace("İ", "?")  # noqa: E731 (its lower case has two characters)
+    assert [(t, n, fold(p)) for t, n, p in zip(got.text, got.number, got.strings())] == [(t, n, fold(p)) for t, n, p in want]
+    assert got.sizes().tolist() == [len(p) for p in got.strings()]
+
+
+def test_a_long_line_is_scored_as_a_whole():
+    w = np.random.default_rng(1).normal(size=(9, L.PLACES)).astype(np.float32)
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(L.BATCH_CHARS + 1000)).strip()
+    lines = L.lines_of(["short one\n" + long, "another"])
+    p, _, n = L.presence([lines.strings()[1]])
+    assert np.allclose(L.Kernel(w).scores(lines.codes, lines.line, 3)[1], w[:, p].sum(1) / np.sqrt(n[0]), rtol=1e-3, atol=1e-2)
+
+
 def test_nulls_blank_lines_long_texts_and_clashing_columns(spark):
     rows, _ = made(200, 3)
     long = (SAY["de"] + " ") * 3000
@@ -90,7 +116,7 @@ def test_kernel_is_presence_over_the_root_of_both_sizes():
     assert np.allclose(k[0, 0], 1) and k[2, 0] < 0.3 and k[0, 1] < 0.3
     p, at, n = L.presence(["aaaa", ""])
     assert n[0] == len(set(p[at == 0])) == 2 + 3 + 3 + 3  # a and blank; aa, " a", "a "; and so on
-    w = np.random.default_rng(0).normal(size=(L.PLACES, 9)).astype(np.float32)
-    lines = [f"line {i} of many" for i in range(50)]
-    whole = L.Kernel(w).scores(lines)
-    assert np.allclose(whole[7:9], L.Kernel(w).scores(lines[7:9]), atol=1e-4)
+    w = np.random.default_rng(0).normal(size=(9, L.PLACES)).astype(np.float32)
+    lines = [f"line {chr(97 + i % 26) * (i + 1)} of many" for i in range(50)]
+    scores = lambda x: (lambda s: L.Kernel(w).scores(s.codes, s.line, len(x)))(L.lines_of(x))
+    assert np.allclose(scores(lines)[7:9], scores(lines[7:9]), atol=1e-4)
