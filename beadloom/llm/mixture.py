@@ -24,11 +24,9 @@ from beadloom.runtime import cut
 TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 #: Fixed value: how that vocabulary parts words before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters tokenized at once; longer texts are cut there, at a line end or blank if there is one.
-SLICE = 1 << 16
 #: Labelled documents the classifier is fitted on, places its features are hashed to, passes over them.
 FIT_DOCUMENTS, PLACES, PASSES = 5_000, 1 << 14, 12
-#: Most gradient steps, and the largest relative miss of a target that ends them.
+#: Most gradient steps, and the largest relative miss of a target that ends them; ``settled`` tells whether they came to an end before.
 STEPS, CLOSE = 40, 1e-6
 BINS = 8192
 
@@ -43,16 +41,6 @@ def encoder(folder: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def slices(text: str) -> list[str]:
-    out, at = [], 0
-    while len(text) - at > SLICE:
-        to = max(text.rfind("\n", at, at + SLICE), text.rfind(" ", at, at + SLICE))
-        to = to if to > at else at + SLICE
-        out.append(text[at:to])
-        at = to
-    return [*out, text[at:]]
-
-
 def features(text: str) -> np.ndarray:
     """Distinct places of the hashed words, numbers alike, and of pairs of neighbouring ones."""
     import xxhash
@@ -115,7 +103,7 @@ def memberships(documents: DataFrame, sources: list[str], weights: np.ndarray, f
             counts, p = np.zeros(len(pdf), dtype=np.int64), np.zeros((len(pdf), n))
             for i, (label, text) in enumerate(zip(pdf["label"], pdf["text"])):
                 text = text or ""
-                counts[i] = sum(len(enc.encode_ordinary(s)) for s in slices(text))
+                counts[i] = len(enc.encode_ordinary(text))  # whole, however long
                 if label in sources:
                     p[i, sources.index(label)] = 1
                 else:
@@ -129,8 +117,16 @@ def memberships(documents: DataFrame, sources: list[str], weights: np.ndarray, f
     return documents.select("doc_id", "label", "text").mapInPandas(run, "doc_id long, label string, n_tokens long, " + ", ".join(f"{p} double" for p in names))
 
 
-def _dot(names: list[str], weights: np.ndarray) -> Column:
-    return sum((F.col(p) * float(w) for p, w in zip(names, weights)), F.lit(0.0))
+def rate_after(steps: list[np.ndarray], names: list[str], cap: str = "cap") -> Column:
+    """The rate that the steps lead to from 0, each clipped to what is allowed; steps are data in one expression, which does not grow with them."""
+    p = F.array(*map(F.col, names))
+    table = F.array(*(F.array(*(F.lit(float(w)) for w in s)) for s in steps)) if steps else F.array().cast("array<array<double>>")
+
+    def step(rate: Column, s: Column) -> Column:
+        dot = F.aggregate(F.zip_with(p, s, lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y)
+        return F.least(F.col(cap), F.greatest(F.lit(0.0), rate + dot))
+
+    return F.aggregate(table, F.lit(0.0), step)
 
 
 class Mix:
@@ -147,7 +143,7 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     sources. ``total_tokens`` is the size of the mix; by default the largest at which every target can be met. A
     source label is compared trimmed and in lower case. A null or blank label makes a document soft: it may be used once at most, for
     its posterior sources. A label outside of ``targets`` has no share and its documents are not used. A target without documents stays at 0.
-    Copies of a document are mixed each on their own.
+    Copies of a document are mixed each on their own. ``shares.settled`` is false where the last step still moved rates.
     """
     want = sorted((r["source"].strip().lower(), float(r["target_share"]), int(r["max_repeats"])) for r in targets.collect())
     sources, share, most = [w[0] for w in want], np.array([w[1] for w in want]), np.array([w[2] for w in want])
@@ -159,23 +155,26 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     cap = F.coalesce(*(F.when(F.col("label") == s, F.lit(float(m))) for s, m in zip(sources, most)), F.lit(1.0))
     rows = cut(member.withColumn("cap", cap))
 
-    tokens = lambda rate: rows.agg(*(F.sum(rate * F.col("n_tokens") * F.col(p)).alias(p) for p in names)).first()
-    got = lambda row: np.array([row[p] or 0.0 for p in names])
+    # documents of one label have one membership and one rate: a step works on their sum and on the soft ones
+    like = cut(rows.groupBy("cap", *names).agg(F.sum("n_tokens").alias("n_tokens")))
+    tokens = lambda rate: like.agg(*(F.sum(rate * F.col("n_tokens") * F.col(p)).alias(f"sum_{p}") for p in names)).first()
+    got = lambda row: np.array([row[f"sum_{p}"] or 0.0 for p in names])
     there, reach = got(tokens(F.lit(1.0))), got(tokens(F.col("cap")))
     able = there > 0
     asked = able & (share > 0)
     total = float(total_tokens) if total_tokens is not None else float((reach[asked] / share[asked]).min()) if asked.any() else 0.0
     target = share * total
-    # rates as an expression in the memberships: one clipped step per round, so no rate is ever stored or collected
-    rate: Column = F.lit(0.0)
-    mixed = np.zeros(n)
+    # rates are never stored or collected: the steps tell the rate of each membership
+    steps: list[np.ndarray] = []
+    mixed, settled = np.zeros(n), False
     for _ in range(STEPS):
-        step = np.where(able, (target - mixed) / np.maximum(there, 1e-9), 0.0)
-        rate = F.least(F.col("cap"), F.greatest(F.lit(0.0), rate + _dot(names, step)))
-        before, mixed = mixed, got(tokens(rate))
+        steps.append(np.where(able, (target - mixed) / np.maximum(there, 1e-9), 0.0))
+        before, mixed = mixed, got(tokens(rate_after(steps, names)))
         miss = np.abs(mixed - target)[able] / np.maximum(target[able], 1)
         if miss.max(initial=0) < CLOSE or np.abs(mixed - before).max(initial=0) < CLOSE * max(total, 1):
+            settled = True
             break
+    rate = rate_after(steps, names)
     domain = F.coalesce("label", F.element_at(F.array(*map(F.lit, sources)), F.array_position(F.array(*map(F.col, names)), F.greatest(*map(F.col, names)) if n > 1 else F.col(names[0])).cast("int")))
     fitted = rows.select("doc_id", "label", "n_tokens", "cap", *names, rate.alias("rate")).withColumn("domain", domain)
     # whole copies: the floor, and one more where hash / fraction is under the domain's threshold
@@ -202,11 +201,13 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens_used"), F.sum(F.when(F.col("copies") > 0, 1).otherwise(0)).alias("documents_used"),
         F.max("copies").alias("most_copies"), F.sum("n_tokens").alias("tokens_there"),
     )
-    reached = documents.sparkSession.createDataFrame([(s, float(w), int(m), float(e)) for s, w, m, e in zip(sources, share, most, mixed)], "source string, target_share double, max_repeats int, expected_tokens double")
+    reached = documents.sparkSession.createDataFrame(
+        [(s, float(w), int(m), float(e), settled) for s, w, m, e in zip(sources, share, most, mixed)], "source string, target_share double, max_repeats int, expected_tokens double, settled boolean"
+    )
     zero = F.lit(0).cast("long")
     told = reached.join(per.withColumnRenamed("domain", "source"), "source", "left").select(
         "source", "target_share", "max_repeats", F.coalesce("tokens_there", zero).alias("tokens_there"), F.round("expected_tokens", 3).alias("expected_tokens"),
-        F.coalesce("tokens_used", zero).alias("tokens_used"), F.coalesce("documents_used", zero).alias("documents_used"), F.coalesce("most_copies", zero).alias("most_copies"),
+        F.coalesce("tokens_used", zero).alias("tokens_used"), F.coalesce("documents_used", zero).alias("documents_used"), F.coalesce("most_copies", zero).alias("most_copies"), "settled",
     )
     used = told.agg(F.sum("tokens_used").alias("u")).scalar()
     shares = told.withColumn("reached_share", F.coalesce(F.round(F.col("tokens_used") / F.when(used > 0, used), 6), F.lit(0.0)))

@@ -62,10 +62,27 @@ def test_copies_are_the_same_on_every_run(spark):
     assert one == two
 
 
-def test_long_texts_are_counted_whole():
+def test_long_texts_are_counted_whole(spark):
     enc = M.encoder(M.TOKENIZERS)
-    text = "word " * 60_000
-    assert "".join(M.slices(text)) == text and max(map(len, M.slices(text))) <= M.SLICE
-    n, whole = sum(len(enc.encode_ordinary(s)) for s in M.slices(text)), len(enc.encode_ordinary(text))
-    assert abs(n - whole) <= len(M.slices(text))
-    assert "".join(M.slices("z" * 200_000)) == "z" * 200_000
+    texts = ["word " * 60_000, "z" * 200_000, "样品" * 50_000, " " * 100_000 + "x"]
+    got = M.memberships(spark.createDataFrame([(k, "a", t) for k, t in enumerate(texts)], "doc_id long, label string, text string"), ["a"], np.zeros((M.PLACES + 1, 1)))
+    assert {r["doc_id"]: r["n_tokens"] for r in got.collect()} == {k: len(enc.encode_ordinary(t)) for k, t in enumerate(texts)}
+
+
+def test_rates_after_steps(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet(np.ones(3), 20)
+    steps = [rng.normal(0, 0.6, 3) for _ in range(6)]
+    want = np.zeros(20)
+    for s in steps:
+        want = np.clip(want + p @ s, 0, 1.5)
+    df = spark.createDataFrame([(k, 1.5, *map(float, r)) for k, r in enumerate(p)], "k int, cap double, p0 double, p1 double, p2 double")
+    got = df.select("k", M.rate_after(steps, ["p0", "p1", "p2"]).alias("r")).orderBy("k").collect()
+    assert np.allclose([r["r"] for r in got], want)
+
+
+def test_steps_that_run_out_are_told(spark, monkeypatch):
+    monkeypatch.setattr(M, "STEPS", 1)
+    t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 2)], TARGET)
+    rows = [(k, "one two three four", "a" if k % 3 else "b" if k % 2 else None) for k in range(60)]
+    assert not any(r["settled"] for r in M.mix(spark.createDataFrame(rows, DOC), t, total_tokens=900).shares.collect())
