@@ -70,22 +70,28 @@ def lossy_summary(items: DataFrame, epsilon: float) -> DataFrame:
     return sums.filter("item IS NOT NULL").select("item", F.col("low").alias("count_low"), (F.col("low") + unseen - F.col("known")).alias("count_high"), unseen.alias("unseen"))
 
 
-def frequent_items(items: DataFrame, k: int, epsilon: float = 2e-4) -> DataFrame:
-    """The ``k`` most frequent items: ``item, place, n, count_low, count_high``.
+#: Smallest epsilon: a task holds a bucket of a million items and its entries, and no more.
+FLOOR = 1e-6
+
+
+def frequent_items(items: DataFrame, k: int, epsilon: float = 2e-4, floor: float = FLOOR) -> DataFrame:
+    """The ``k`` most frequent items: ``item, place, n, count_low, count_high, sure``.
 
     Items whose upper bound reaches the ``k``-th largest lower bound are candidates; they are at most a few
     times ``1/epsilon``, and a second pass counts them exactly (``n``). Should an item outside all summaries
     possibly belong to the ``k`` (``unseen`` at least that lower bound), the pass is repeated with a quarter
-    of ``epsilon``, in the end with buckets larger than the input, which counts exactly. Ties are broken by the item's text. Fewer than
-    ``k`` distinct items give fewer rows; an empty column gives none.
+    of ``epsilon``, but never with less than ``floor``, which bounds the memory of a task. On a column so flat that this does not decide
+    it, ``sure`` is false: counts and intervals hold, but an item outside of the summaries may occur up to ``unseen`` times.
+    Ties are broken by the item's text. Fewer than ``k`` distinct items give fewer rows; an empty column gives none.
     """
     while True:
         summary = lossy_summary(items, epsilon)
         top = summary.orderBy(F.desc("count_low")).limit(k).agg(F.count("*").alias("n"), F.min("count_low").alias("least"), F.max("unseen").alias("unseen")).first()
         exact = not top["unseen"]
-        if exact or (top["n"] == k and top["least"] > top["unseen"]):
+        sure = exact or (top["n"] == k and top["least"] > top["unseen"])
+        if sure or epsilon <= floor:
             break
-        epsilon /= 4
+        epsilon = max(epsilon / 4, floor)
     least = top["least"] if top["n"] == k else 0
     likely = cut(summary.filter(F.col("count_high") >= F.lit(least)))
     if exact:
@@ -97,7 +103,7 @@ def frequent_items(items: DataFrame, k: int, epsilon: float = 2e-4) -> DataFrame
         counted = likely.join(n, "item")
     best = counted.orderBy(F.desc("n"), "item").limit(k)
     place = F.expr("row_number() OVER (ORDER BY n DESC, item)")
-    return best.select("item", place.alias("place"), "n", "count_low", "count_high")
+    return best.select("item", place.alias("place"), "n", "count_low", "count_high", F.lit(bool(sure)).alias("sure"))
 
 
 def normal_barcode(c: str | Column) -> Column:
@@ -105,7 +111,7 @@ def normal_barcode(c: str | Column) -> Column:
 
 
 def frequent_barcodes(puck: DataFrame, molecules: DataFrame, k_sb: int = 10, k_index: int = 12) -> DataFrame:
-    """Both columns of the problem: ``item_field, item, place, n, count_low, count_high``."""
+    """Both columns of the problem: ``item_field, item, place, n, count_low, count_high, sure``."""
     sb = frequent_items(puck.select(normal_barcode("sb").alias("item")), k_sb)
     index = frequent_items(molecules.select(F.col("sb_index").cast("string").alias("item")), k_index)
     return sb.withColumn("item_field", F.lit("puck.sb")).unionByName(index.withColumn("item_field", F.lit("molecules.sb_index")))

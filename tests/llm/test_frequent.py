@@ -38,6 +38,14 @@ def test_all_items_alike(spark):
     assert [r["item"] for r in got] == ["k0", "k1", "k10"]  # ties by text
 
 
+def test_a_flat_column_stops_at_the_floor_with_intervals(spark):
+    items = [f"k{k % 900}" for k in range(3000)]
+    got = frequent_items(frame(spark, items, 2), 3, 0.1, 0.05).collect()
+    true = Counter(items)
+    assert not any(r["sure"] for r in got) and all(r["count_low"] <= true[r["item"]] == r["n"] <= r["count_high"] for r in got)
+    assert all(r["sure"] for r in frequent_items(frame(spark, items, 2), 3, 0.1).collect())
+
+
 def test_few_items_nulls_empty_and_long_texts(spark):
     long = "x" * 100_000
     got = frequent_items(frame(spark, [None, "a", "a", None, long, ""]), 10).orderBy("place").collect()
