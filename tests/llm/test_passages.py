@@ -38,3 +38,22 @@ def test_best_stretch_against_all_stretches():
         every = [(sum(f[a:b]) * 10 - 8 * (b - a), b - a, -a) for a in range(len(f)) for b in range(a + 20, len(f) + 1)]
         score, at, to = L.best_stretch(np.array(f), 20, 0.8)
         assert (score, to - at, -at) == ((lambda w: (w[0] * 100_000, w[1], w[2]))(max(every)) if every else (-1, 0, 0))
+
+
+def test_recall_at_the_thresholds_against_brute_force(spark):
+    """Parts of 20 words with 4 changed at random; brute force tries every alignment of every document with its item."""
+    rng = random.Random(12)
+    items, docs, want = [], [], set()
+    for k in range(400):
+        w = [f"i{k}w{j}" for j in range(40)]
+        part = [("sub" if j in set_ else x) for set_ in [set(rng.sample(range(20), 4))] for j, x in enumerate(w[10:30])]
+        items.append((k, " ".join(w)))
+        d = [f"a{k}x{j}" for j in range(30)] + part + [f"b{k}x{j}" for j in range(30)]
+        docs.append((k, " ".join(d)))
+        for shift in range(-len(w), len(d)):
+            same = np.array([0 <= j + shift < len(d) and d[j + shift] == x for j, x in enumerate(w)])
+            if L.best_stretch(same, 20, 0.8)[0] >= 0:
+                want.add((k, k))
+    got = {(r["doc_id"], r["item_id"]) for r in L.near_leaks(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM)).collect()}
+    assert len(want) == 400 and got <= want
+    assert len(got) / len(want) >= 0.95
