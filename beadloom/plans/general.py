@@ -116,6 +116,29 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("row_id", "field_name", "pos", "item_text")
 
 
+#: Planted cells: two or three of 32 IDs, a third of the cells without separators.
+_K = "(row_id * 7 + {} * row_id // 32 + {}) % 16 + 1"
+
+
+@query(
+    "p3_glued",
+    f"""
+    WITH i AS (SELECT row_id, CASE WHEN row_id % 2 = 0 THEN 'BC' ELSE 'AB' END || lpad(({_K.format(3, 0)})::VARCHAR, 3, '0') AS a,
+                      'BC' || lpad(({_K.format(5, 4)})::VARCHAR, 3, '0') AS b, 'AB' || lpad(({_K.format(11, 9)})::VARCHAR, 3, '0') AS c FROM example_metadata),
+    v AS (SELECT row_id, CASE WHEN row_id % 5 = 0 THEN [a, b, c] ELSE [a, b] END AS v FROM i)
+    SELECT row_id, unnest(range(1, len(v) + 1))::INT AS pos, unnest(v) AS item_text FROM v
+    """,
+)
+def p3_glued(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that stand side by side without a separator, told apart by learned frequencies; a cell is planted for every row of the table."""
+    r, pad = F.col("row_id"), lambda tag, k: F.concat(tag, F.lpad(k.cast("string"), 3, "0"))
+    of = lambda m, c: (r * 7 + F.floor(m * r / 32) + c) % 16 + 1
+    a, b, c = pad(F.when(r % 2 == 0, "BC").otherwise("AB"), of(3, 0)), pad(F.lit("BC"), of(5, 4)), pad(F.lit("AB"), of(11, 9))
+    sep = F.when(r % 3 == 0, "").otherwise(F.when(r % 7 == 0, "; ").otherwise(","))
+    cell = F.concat(a, sep, b, F.when(r % 5 == 0, F.concat(sep, c)).otherwise(""))
+    return packed_fields.unpack(table(spark, sf, "example_metadata").select("row_id", cell.alias("cell")), "row_id", ["cell"], glue=100.0).select("row_id", "pos", "item_text")
+
+
 _FIELD = r'"(?:[^"]|"")*"|[^"{0}]*'
 
 
