@@ -5,10 +5,12 @@ A key reached by two generated rows is ambiguous and gets index 0; an exact barc
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beadloom.functions.seq import BARCODE, HALF, deletions
+from beadloom.functions.seq import BARCODE, HALF, deletions, most_common
 from beadloom.runtime import parts
 
 
@@ -62,15 +64,23 @@ def deletion_dictionary(beads: DataFrame) -> DataFrame:
 
 
 def match_beads(reads: DataFrame, beads: DataFrame) -> DataFrame:
-    """``reads`` (with ``sb1, sb2``) and ``sb_index, pos, match``: the full key first, then the deletion key if that missed."""
+    """``reads`` (with ``sb1, sb2``) and ``sb_index, pos, match``: the full key first, then the deletion key if that missed.
+
+    ``reads`` is read twice, so it should be narrow and written (``cut``), best as counts per key. Keys are looked up, not reads: each distinct
+    key once, whatever the number of its reads; what the full key has settled meets no deletion key. Reads then take the answer of their key.
+    """
+    keys = reads.select("sb1", "sb2").distinct()
     one = bead_dictionary(beads).withColumnsRenamed({"sb_index": "i1", "pos": "p1"})
-    two = deletion_dictionary(beads).select("sb1", F.col("sb2").alias("sb2_5"), F.col("sb_index").alias("i2"), F.col("pos").alias("p2"))
-    met = reads.join(one, ["sb1", "sb2"], "left").withColumn("sb2_5", F.substring("sb2", 1, 5)).join(two, ["sb1", "sb2_5"], "left").drop("sb2_5")
+    two = deletion_dictionary(beads).select("sb1", F.col("sb2").alias("tail"), F.col("sb_index").alias("i2"), F.col("pos").alias("p2"))
+    # a settled key gets a tail that no bead has, its own, so that settled keys stay spread
+    asked = keys.join(one, ["sb1", "sb2"], "left").withColumn("tail", F.when(F.col("i1").isNull(), F.substring("sb2", 1, 5)).otherwise(F.concat(F.lit("-"), "sb2")))
+    met = asked.join(two, ["sb1", "tail"], "left")
     match = (
         F.when((F.col("i1") > 0) & (F.col("p1") == 0), "exact").when(F.col("i1") > 0, "HD1").when(F.col("i1") == 0, "HD1ambig")
         .when(F.col("i2") > 0, "SB2del").when(F.col("i2") == 0, "SB2delambig").otherwise("none")
     )
-    return met.withColumn("match", match).withColumn("sb_index", F.nullif(F.coalesce("i1", "i2"), F.lit(0))).withColumn("pos", F.coalesce("p1", "p2")).drop("i1", "p1", "i2", "p2")
+    told = met.select("sb1", "sb2", F.nullif(F.coalesce("i1", "i2"), F.lit(0)).alias("sb_index"), F.coalesce("p1", "p2").alias("pos"), match.alias("match"))
+    return reads.join(told, ["sb1", "sb2"], "left")
 
 
 def cell_matches(observed: DataFrame, whitelist: DataFrame, length: int) -> DataFrame:
@@ -86,17 +96,30 @@ def cell_matches(observed: DataFrame, whitelist: DataFrame, length: int) -> Data
     return met.select("cb_index", match.alias("match"), F.coalesce("own", F.when(F.col("n") == 1, F.col("near"))).alias("cell"))
 
 
+def low_complexity(barcode: str) -> Column:
+    """Whether one base makes up more than four fifths of the barcode (rounded down)."""
+    return most_common(barcode) > F.floor(F.length(barcode) * 0.8)
+
+
 def blocked_edit_match(observed: DataFrame, beads: DataFrame, blocks: tuple[tuple[int, int], ...] = ((1, 6), (5, 6), (9, 6))) -> DataFrame:
     """``barcode, bead, distance``: exact, else the bead within edit distance 1 that shares a block.
 
-    ``observed``: distinct ``barcode``; ``beads``: distinct ``bead``. One substitution leaves at least one of the blocks whole, so no such
-    match is lost. Of several, the closest wins, then one with the same last base, then the smaller barcode.
+    ``observed``: distinct ``barcode``; ``beads``: distinct ``bead``; beads of low complexity take no part. Two strings are within one edit
+    only if they are equal after at most one base is left out of each, so candidates meet by equality of these forms, 15 a barcode, and
+    their number does not grow with the product of both sides. Of several, the closest wins, then one with the same last base, then the
+    smaller barcode.
     """
+    beads = beads.filter(~low_complexity("bead"))
     exact = observed.join(beads, F.col("barcode") == F.col("bead")).select("barcode", "bead", F.lit(0).alias("distance"))
     left = observed.join(beads, F.col("barcode") == F.col("bead"), "left_anti")
-    cuts = lambda c: F.explode(F.array(*(F.struct(F.lit(k).alias("block"), F.substring(c, a, n).alias("part")) for k, (a, n) in enumerate(blocks)))).alias("cut")
-    a, b = left.select("barcode", cuts("barcode")), beads.select("bead", cuts("bead"))
-    met = a.join(b, "cut").select("barcode", "bead").distinct().withColumn("distance", F.levenshtein("barcode", "bead", 1)).filter(F.col("distance") == 1)
+
+    def forms(c: str) -> Column:
+        shorter = F.transform(F.sequence(F.lit(1), F.length(c)), lambda k: F.overlay(F.col(c), F.lit(""), k, F.lit(1)))
+        return F.explode(F.array_distinct(F.concat(F.array(c), shorter))).alias("form")
+
+    same = lambda a, n: F.substring("barcode", a, n) == F.substring("bead", a, n)
+    met = left.select("barcode", forms("barcode")).join(beads.select("bead", forms("bead")), "form").select("barcode", "bead").distinct()
+    near = met.filter((F.levenshtein("barcode", "bead", 1) == 1) & reduce(lambda x, y: x | y, (same(a, n) for a, n in blocks))).withColumn("distance", F.lit(1))
     rank = F.struct("distance", (F.substring("barcode", -1, 1) != F.substring("bead", -1, 1)).alias("end"), "bead")
-    best = met.groupBy("barcode").agg(F.min(rank).alias("best")).select("barcode", "best.bead", "best.distance")
+    best = near.groupBy("barcode").agg(F.min(rank).alias("best")).select("barcode", "best.bead", "best.distance")
     return exact.unionByName(best)

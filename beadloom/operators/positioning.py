@@ -214,15 +214,15 @@ def salvage(p: DataFrame) -> DataFrame:
     can = (F.col("number_clusters") > 1) & (F.col("nc_0") > 1) & (F.col("n_lone") == F.col("nc_0") - 1)
     return p.select(
         "cb_index", F.when(can, F.col("sx_um")).otherwise(F.col("x_um")).alias("x_um"), F.when(can, F.col("sy_um")).otherwise(F.col("y_um")).alias("y_um"),
-        F.when(can, 1).otherwise(F.col("number_clusters")).alias("number_clusters"), F.col("number_clusters").alias("number_clusters_o"), F.when(can, 1).otherwise(0).alias("rep_status"),
+        F.when(can, 1).otherwise(F.col("number_clusters")).alias("number_clusters"), F.col("number_clusters").alias("number_clusters_o"), F.when(can, 1).otherwise(0).alias("rep_status"), "nc_0",
     )
 
 
 def rescue(salvaged: DataFrame, again: DataFrame) -> DataFrame:
-    """Cells without a cluster take their place from a second clustering where it found one: ``rep_status`` 2."""
+    """Cells without any cluster (``nc_0`` is 0, before survivors are chosen) take their place from a second clustering where it found one: ``rep_status`` 2."""
     new = again.filter("number_clusters > 0").select("cb_index", F.col("x_um").alias("nx"), F.col("y_um").alias("ny"), F.col("number_clusters").alias("nn"))
     met = salvaged.join(new, "cb_index", "left")
-    use = (F.col("number_clusters") == 0) & F.col("nn").isNotNull()
+    use = (F.col("nc_0") == 0) & F.col("nn").isNotNull()
     return met.select(
         "cb_index", F.when(use, F.col("nx")).otherwise(F.col("x_um")).alias("x_um"), F.when(use, F.col("ny")).otherwise(F.col("y_um")).alias("y_um"),
         F.when(use, F.col("nn")).otherwise(F.col("number_clusters")).alias("number_clusters"), "number_clusters_o", F.when(use, 2).otherwise(F.col("rep_status")).alias("rep_status"),
@@ -245,7 +245,7 @@ def best_min_pts(beads: DataFrame, eps: float, values: tuple[int, ...]) -> int:
 
 
 def profile_at_best(beads: DataFrame, eps: float, values: tuple[int, ...], umi_floor: int = 1, close: float = 100.0) -> DataFrame:
-    """Profile, salvage and rescue; ``min_pts`` is swept over all cells, and over the cells without a cluster once more."""
+    """Profile, salvage and rescue; ``min_pts`` is swept over all cells, and over those without any cluster (``nc_0`` 0) once more."""
     first = cut(salvage(profile(beads, eps, best_min_pts(beads, eps, values), umi_floor, close)))
-    lost = cut(beads.join(first.filter("number_clusters = 0").select("cb_index"), "cb_index", "left_semi"))
-    return rescue(first, profile(lost, eps, best_min_pts(lost, eps, values), 0, close))
+    lost = cut(beads.join(first.filter("nc_0 = 0").select("cb_index"), "cb_index", "left_semi"))
+    return rescue(first, profile(lost, eps, best_min_pts(lost, eps, values), umi_floor, close))

@@ -27,9 +27,11 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
     return r.withColumn("sb1", one).withColumn("sb2", two)
 
 
-def _matched(spark: SparkSession, sf: str) -> DataFrame:
+def _matched(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
+    """Reads that may be looked up, counted (``n``) by ``keep`` and key, with their match; the reads themselves are made and classified once."""
     kept = _classified(spark, sf).filter("umi_state = 'ok' AND linker NOT IN ('GG', 'none')").drop("sb_index")
-    return D.match_beads(kept, table(spark, sf, "sb_list"))
+    counts = cut(kept.groupBy(*keep, "sb1", "sb2").agg(F.count("*").alias("n")))
+    return D.match_beads(counts, table(spark, sf, "sb_list"))
 
 
 def _zero_filled(counts: DataFrame, name: str, categories: tuple) -> DataFrame:
@@ -105,12 +107,12 @@ def sb_deletion_dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sb_match", with_(V.MATCHED, "SELECT linker, match, count(*) AS n, coalesce(sum(sb_index), 0)::BIGINT AS sum_index FROM mt GROUP BY 1, 2"))
 def sb_match(spark: SparkSession, sf: str) -> DataFrame:
-    return _matched(spark, sf).groupBy("linker", "match").agg(F.count("*").alias("n"), F.coalesce(F.sum("sb_index"), F.lit(0)).alias("sum_index"))
+    return _matched(spark, sf, "linker").groupBy("linker", "match").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.col("sb_index") * F.col("n")), F.lit(0)).alias("sum_index"))
 
 
 @query("sb_position_hist", with_(V.MATCHED, "SELECT c.pos::INT AS pos, count(mt.r1) AS n FROM (SELECT unnest(range(-14, 15)) AS pos) c LEFT JOIN mt ON mt.pos = c.pos AND mt.sb_index > 0 GROUP BY 1"))
 def sb_position_hist(spark: SparkSession, sf: str) -> DataFrame:
-    n = _matched(spark, sf).filter("sb_index > 0").groupBy(F.col("pos").cast("int").alias("pos")).agg(F.count("*").alias("n"))
+    n = _matched(spark, sf).filter("sb_index > 0").groupBy(F.col("pos").cast("int").alias("pos")).agg(F.sum("n").alias("n"))
     return _zero_filled(n, "pos", tuple(range(-14, 15)))
 
 
@@ -118,19 +120,19 @@ def sb_position_hist(spark: SparkSession, sf: str) -> DataFrame:
 def fuzzy_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Corrected positions as places in the read: the second half lies behind the linker."""
     at = F.when(F.col("pos") > 8, F.col("pos") + 18).otherwise(F.col("pos")).cast("int")
-    return _matched(spark, sf).filter("sb_index > 0 AND pos > 0").groupBy(at.alias("read_pos")).agg(F.count("*").alias("n"))
+    return _matched(spark, sf).filter("sb_index > 0 AND pos > 0").groupBy(at.alias("read_pos")).agg(F.sum("n").alias("n"))
 
 
 @query("match_rollup", with_(V.MATCHED, "SELECT match, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 4) AS pct FROM mt GROUP BY 1"))
 def match_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    n = _matched(spark, sf).groupBy("match").agg(F.count("*").alias("n"))
+    n = _matched(spark, sf).groupBy("match").agg(F.sum("n").alias("n"))
     return n.withColumn("pct", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 4))
 
 
 @query("molecule_counts", with_(V.MATCHED, "SELECT cell, umi_2bit, sb_index, count(*) AS reads FROM mt WHERE sb_index > 0 GROUP BY ALL"))
 def molecule_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Read counts per cell barcode, UMI and bead: one partial and one final aggregation."""
-    return _matched(spark, sf).filter("sb_index > 0").groupBy("cell", "umi_2bit", "sb_index").agg(F.count("*").alias("reads"))
+    """Read counts per cell barcode, UMI and bead: counts per key first, added up once keys have become beads."""
+    return _matched(spark, sf, "cell", "umi_2bit").filter("sb_index > 0").groupBy("cell", "umi_2bit", "sb_index").agg(F.sum("n").alias("reads"))
 
 
 @query(
@@ -143,7 +145,8 @@ def read_invariants(spark: SparkSession, sf: str) -> DataFrame:
     all_reads = _classified(spark, sf)
     linked = (F.col("umi_state") == "ok") & ~F.col("linker").isin("GG", "none")
     a = all_reads.agg(F.count("*").alias("n_reads"), F.count_if(linked).alias("n_linked"))
-    b = _matched(spark, sf).agg(F.count("*").alias("n_looked_up"), F.count_if(F.col("sb_index") > 0).alias("n_matched"),
+    m = _matched(spark, sf)
+    b = m.agg(F.sum("n").alias("n_looked_up"), F.coalesce(F.sum(F.when(F.col("sb_index") > 0, F.col("n"))), F.lit(0)).alias("n_matched"),
         (F.count_if(F.col("match") == "exact") == F.count_if((F.col("sb_index") > 0) & (F.col("pos") == 0))).alias("exact_is_pos_0"))
     return beside(a, b)
 
@@ -400,7 +403,7 @@ def thin_rows(spark: SparkSession, sf: str) -> DataFrame:
     return V.matrix(spark, sf).filter(keep)
 
 
-@query("bead_edit_match", with_([*V.STATES, "o AS (SELECT DISTINCT left(r2, 8) || substr(r2, 27, 6) AS barcode FROM st WHERE linker = 'exact')", "w AS (SELECT DISTINCT barcode AS bead FROM sb_list)",
+@query("bead_edit_match", with_([*V.STATES, "o AS (SELECT DISTINCT left(r2, 8) || substr(r2, 27, 6) AS barcode FROM st WHERE linker = 'exact')", f"w AS (SELECT DISTINCT barcode AS bead FROM sb_list WHERE {V.SQL_COMPLEX})",
     "e AS (SELECT barcode, bead, 0 AS distance FROM o JOIN w ON barcode = bead)", "l AS (SELECT * FROM o ANTI JOIN e USING (barcode))",
     "c AS (SELECT barcode, bead FROM l JOIN w ON left(barcode, 6) = left(bead, 6) UNION SELECT barcode, bead FROM l JOIN w ON substr(barcode, 5, 6) = substr(bead, 5, 6) UNION SELECT barcode, bead FROM l JOIN w ON substr(barcode, 9, 6) = substr(bead, 9, 6))",
     "r AS (SELECT barcode, bead, 1 AS distance FROM c WHERE levenshtein(barcode, bead) = 1 QUALIFY row_number() OVER (PARTITION BY barcode ORDER BY right(barcode, 1) <> right(bead, 1), bead) = 1)"],

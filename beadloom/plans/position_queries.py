@@ -177,7 +177,7 @@ def _profiled(eps: float, min_pts: int, floor: int = UMI_FLOOR) -> list[str]:
             LEFT JOIN ln ON ln.cb_index = ag.cb_index LEFT JOIN md ms ON ms.cb_index = ag.cb_index AND ms.cluster = ln.other)""",
         """sv AS (SELECT cb_index, CASE WHEN number_clusters > 1 AND nc_0 > 1 AND n_lone = nc_0 - 1 THEN sx_um ELSE x_um END AS x_um, CASE WHEN number_clusters > 1 AND nc_0 > 1 AND n_lone = nc_0 - 1 THEN sy_um ELSE y_um END AS y_um,
             CASE WHEN number_clusters > 1 AND nc_0 > 1 AND n_lone = nc_0 - 1 THEN 1 ELSE number_clusters END AS number_clusters, number_clusters AS number_clusters_o,
-            (number_clusters > 1 AND nc_0 > 1 AND n_lone = nc_0 - 1)::INT AS rep_status FROM po)""",
+            (number_clusters > 1 AND nc_0 > 1 AND n_lone = nc_0 - 1)::INT AS rep_status, nc_0 FROM po)""",
     ]
 
 
@@ -212,15 +212,15 @@ def profile_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("salvage", _recursive(_POSITIONS, f"SELECT cb_index, {_R4('x_um', 'y_um')}, number_clusters, number_clusters_o, rep_status FROM sv"))
 def salvage(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(P.salvage(_profile(spark, sf)))
+    return _rounded(P.salvage(_profile(spark, sf)).drop("nc_0"))
 
 
 def _rescued(spark: SparkSession, sf: str) -> DataFrame:
-    """Cells without a cluster are clustered again, by themselves, with half the weight asked for."""
+    """Cells without any cluster are clustered again, by themselves, with half the weight asked for."""
     beads = cut(V.cell_beads(spark, sf))
     first = cut(P.salvage(P.profile(beads, PROFILE_EPS, 4, UMI_FLOOR, CLOSE)))
-    lost = beads.join(first.filter("number_clusters = 0").select("cb_index"), "cb_index", "left_semi")
-    return P.rescue(first, P.profile(lost, PROFILE_EPS, 2, 0, CLOSE))
+    lost = beads.join(first.filter("nc_0 = 0").select("cb_index"), "cb_index", "left_semi")
+    return P.rescue(first, P.profile(lost, PROFILE_EPS, 2, UMI_FLOOR, CLOSE))
 
 
 def _again(parts: list[str]) -> list[str]:
@@ -229,8 +229,8 @@ def _again(parts: list[str]) -> list[str]:
     return [own.sub(r"\1_2", p) for p in parts[len(_NODES) + 1 :]]
 
 
-_RESCUED = [*_POSITIONS, *_again(_profiled(PROFILE_EPS, 2, 0))]
-_USE = "sv.number_clusters = 0 AND coalesce(po_2.number_clusters, 0) > 0"
+_RESCUED = [*_POSITIONS, *_again(_profiled(PROFILE_EPS, 2))]
+_USE = "sv.nc_0 = 0 AND coalesce(po_2.number_clusters, 0) > 0"
 
 
 @query(

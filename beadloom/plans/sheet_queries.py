@@ -272,7 +272,7 @@ def demux_summary(spark: SparkSession, sf: str) -> DataFrame:
     return R.demux_summary(_tagged(spark, sf), ["AB001", "AB002"])
 
 
-_EDIT = [*_VALID, "w AS (SELECT DISTINCT barcode AS bead FROM sb_list)", "ob AS (SELECT sb AS barcode, count(*) AS n_reads FROM pd GROUP BY 1)", "ex AS (SELECT barcode, bead, n_reads FROM ob JOIN w ON barcode = bead)", "lf AS (SELECT * FROM ob ANTI JOIN ex USING (barcode))",
+_EDIT = [*_VALID, f"w AS (SELECT DISTINCT barcode AS bead FROM sb_list WHERE {V.SQL_COMPLEX})", "ob AS (SELECT sb AS barcode, count(*) AS n_reads FROM pd GROUP BY 1)", "ex AS (SELECT barcode, bead, n_reads FROM ob JOIN w ON barcode = bead)", "lf AS (SELECT * FROM ob ANTI JOIN ex USING (barcode))",
     "cd AS (SELECT barcode, bead, n_reads FROM lf JOIN w ON left(barcode, 6) = left(bead, 6) UNION SELECT barcode, bead, n_reads FROM lf JOIN w ON substr(barcode, 5, 6) = substr(bead, 5, 6) UNION SELECT barcode, bead, n_reads FROM lf JOIN w ON substr(barcode, 9, 6) = substr(bead, 9, 6))",
     "mm AS (SELECT * FROM ex UNION ALL (SELECT * FROM cd WHERE levenshtein(barcode, bead) = 1 QUALIFY row_number() OVER (PARTITION BY barcode ORDER BY right(barcode, 1) <> right(bead, 1), bead) = 1))"]
 

@@ -121,6 +121,8 @@ MOLECULES = [
         FROM mol WINDOW w AS (PARTITION BY cb_index, umi_2bit ORDER BY reads DESC, sb_index))""",
 ]
 _DEGENERATE = "greatest(" + ", ".join(f"length(sb) - length(replace(sb, '{b}', ''))" for b in "ACGTN") + ")"
+#: Beads of low complexity take no part in matching by edits.
+SQL_COMPLEX = _DEGENERATE.replace("sb", "barcode") + " <= floor(length(barcode) * 0.8)"
 _RUN = "coalesce(list_max(list_transform(regexp_extract_all(sb, 'A+|C+|G+|T+|N+'), lambda r: length(r))), 0)"
 BEADS = [
     "pk AS (SELECT bead_id, upper(trim(sb)) AS sb, x, y, puck_index FROM puck WHERE sb IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y))",

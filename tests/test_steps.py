@@ -167,10 +167,11 @@ def test_search_grows_while_the_best_lies_at_the_edge(spark):
 
 
 def test_rescue_only_takes_lost_cells(spark):
-    cols = "cb_index long, x_um double, y_um double, number_clusters long, number_clusters_o long, rep_status int"
-    first = spark.createDataFrame([(1, 0.0, 0.0, 0, 0, 0), (2, 5.0, 5.0, 1, 1, 0), (3, 0.0, 0.0, 0, 0, 0)], cols)
-    again = spark.createDataFrame([(1, 7.0, 8.0, 1), (2, 9.0, 9.0, 1), (3, 0.0, 0.0, 0)], "cb_index long, x_um double, y_um double, number_clusters long")
-    assert {(r["cb_index"], r["x_um"], r["rep_status"]) for r in P.rescue(first, again).collect()} == {(1, 7.0, 2), (2, 5.0, 0), (3, 0.0, 0)}
+    """Cell 4 has clusters, but none survived: it is not lost."""
+    cols = "cb_index long, x_um double, y_um double, number_clusters long, number_clusters_o long, rep_status int, nc_0 long"
+    first = spark.createDataFrame([(1, 0.0, 0.0, 0, 0, 0, 0), (2, 5.0, 5.0, 1, 1, 0, 1), (3, 0.0, 0.0, 0, 0, 0, 0), (4, 0.0, 0.0, 0, 0, 0, 2)], cols)
+    again = spark.createDataFrame([(1, 7.0, 8.0, 1), (2, 9.0, 9.0, 1), (3, 0.0, 0.0, 0), (4, 6.0, 6.0, 1)], "cb_index long, x_um double, y_um double, number_clusters long")
+    assert {(r["cb_index"], r["x_um"], r["rep_status"]) for r in P.rescue(first, again).collect()} == {(1, 7.0, 2), (2, 5.0, 0), (3, 0.0, 0), (4, 0.0, 0)}
 
 
 def test_metadata_repeats_and_conflicts(spark):
