@@ -58,11 +58,15 @@ def cell_and_umi(seq: str, layout: str) -> tuple[Column, Column]:
     return F.when(there, cell).otherwise(""), F.when(there, tag).otherwise("")
 
 
+def index_digits(index: Column, n: int) -> tuple[Column, Column, Column]:
+    """The three digits in base ``n`` of a number from 1, the slowest first."""
+    i = index - 1
+    return F.floor(i / (n * n)) % n, F.floor(i / n) % n, i % n
+
+
 def index_to_barcode(index: Column, keys: tuple[list[str], list[str], list[str]]) -> Column:
     """A cell number from 1 in base ``len(keys[0])``, as three key sequences put together; the first key turns slowest."""
-    n = len(keys[0])
-    i = index - 1
-    digits = (F.floor(i / (n * n)) % n, F.floor(i / n) % n, i % n)
+    digits = index_digits(index, len(keys[0]))
     return F.concat(*(F.element_at(F.array(*map(F.lit, k)), (d + 1).cast("int")) for k, d in zip(keys, digits)))
 
 

@@ -2,11 +2,11 @@
 
 import pytest
 
-from beadloom.plans import expression_queries, general, molecule_queries, position_queries, sheet_queries
+from beadloom.plans import expression_queries, general, molecule_queries, position_queries, profile_queries, sheet_queries
 
 from same import check
 
-MODULES = (general, molecule_queries, position_queries, sheet_queries, expression_queries)
+MODULES = (general, molecule_queries, position_queries, sheet_queries, expression_queries, profile_queries)
 QUERIES = {n: f for m in MODULES for n, f in m.QUERIES.items()}
 ORACLE = {n: s for m in MODULES for n, s in m.ORACLE.items()}
 
