@@ -76,19 +76,34 @@ def near_pairs(points: DataFrame, radius: float, group: str, ident: str, block_b
     return met.select(F.col("g").alias(group), "a", "b", gap2.alias("gap2")).filter(F.col("gap2") <= radius * radius)
 
 
+#: Cells of a side that a rectangle is covered with, at most one more.
+COVER = 8
+
+
 def points_in_boxes(points: DataFrame, boxes: DataFrame, side: float, block_bits: int = 6) -> DataFrame:
     """Points inside closed rectangles of the same group: ``ident, box``.
 
     ``points``: ``g, ident, x, y``; ``boxes``: ``g, box, x0, x1, y0, y1``. A rectangle with a null bound or
-    with its bounds exchanged holds nothing. A point on an edge shared by two rectangles is in both.
+    with its bounds exchanged holds nothing. A point on an edge shared by two rectangles is in both. Each rectangle is covered with cells of
+    its own level of the curve, ``side`` wide or a power of two times that, so that at most 81 cells cover it, however large it is. A
+    point stands once for each level that some rectangle has, of which there are at most 30.
     """
-    b = boxes.filter("x0 <= x1 AND y0 <= y1").withColumn("cells", box_cells(F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"), side))
-    b = b.select("g", "box", "x0", "x1", "y0", "y1", F.inline(z_ranges("cells")))
+    b = boxes.filter("x0 <= x1 AND y0 <= y1")
+    b = b.select("g", "box", "x0", "x1", "y0", "y1", *(grid(F.col(c), side).alias(f"c{c}") for c in ("x0", "x1", "y0", "y1")))
+    cells = F.greatest(F.col("cx1") - F.col("cx0"), F.col("cy1") - F.col("cy0")) + 1
+    b = b.withColumn("level", F.greatest(F.lit(0), F.ceil(F.log2(cells / COVER))).cast("int"))
+    levels = [r["level"] for r in b.select("level").distinct().collect()]  # at most 30 numbers
+    at = lambda c: F.expr(f"shiftright({c}, level)")
+    xs = F.transform(F.sequence(at("cx0"), at("cx1")), lambda a: spread(a))
+    ys = F.transform(F.sequence(at("cy0"), at("cy1")), lambda a: F.shiftleft(spread(a), 1))
+    b = b.withColumn("cells", F.array_sort(F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda c: a.bitwiseOR(c))))))
+    b = b.select("g", "box", "x0", "x1", "y0", "y1", "level", F.inline(z_ranges("cells")))
     b = b.withColumn("block", F.explode(F.sequence(F.shiftright("lo", block_bits), F.shiftright("hi", block_bits))))
     p = points.filter(_has_place()).select("g", "ident", "x", "y", z_order(grid(F.col("x"), side), grid(F.col("y"), side)).alias("code"))
+    p = p.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("code", F.expr("shiftright(code, 2 * level)"))
     p = p.withColumn("block", F.shiftright("code", block_bits))
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return p.join(b, ["g", "block"]).filter(F.col("code").between(F.col("lo"), F.col("hi")) & inside).select("ident", "box")
+    return p.join(b, ["g", "level", "block"]).filter(F.col("code").between(F.col("lo"), F.col("hi")) & inside).select("ident", "box")
 
 
 def close_beads(puck: DataFrame, radius: float = 2.0) -> DataFrame:

@@ -57,6 +57,19 @@ def test_regions(spark):
     assert {tuple(r) for r in points_in_boxes(pts, boxes, 2.0).collect()} == {(10, "a"), (11, "a"), (11, "b")}
 
 
+def test_regions_of_all_sizes_against_brute_force(spark):
+    """From a single place to the whole plane; none is covered with more than 81 cells."""
+    rng = random.Random(6)
+    pts = [(rng.choice([1, 2]), k, rng.uniform(-5000, 5000), rng.uniform(-5000, 5000)) for k in range(800)]
+    boxes = [(1, 0, -1e9, 1e9, -1e9, 1e9), (2, 1, float("-inf"), float("inf"), 0.0, 10.0)]
+    for k in range(2, 80):
+        x, y, w, h = rng.uniform(-5000, 5000), rng.uniform(-5000, 5000), 10 ** rng.uniform(-2, 4), 10 ** rng.uniform(-2, 4)
+        boxes.append((rng.choice([1, 2]), k, x, x + w, y, y + h))
+    got = points_in_boxes(spark.createDataFrame(pts, "g int, ident long, x double, y double"), spark.createDataFrame(boxes, "g int, box long, x0 double, x1 double, y0 double, y1 double"), 2.0)
+    want = sorted((i, b) for g, i, x, y in pts for h, b, x0, x1, y0, y1 in boxes if g == h and x0 <= x <= x1 and y0 <= y <= y1)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_radius_zero_finds_equal_places(spark):
     df = spark.createDataFrame([(1, 1, 0.5, 0.5), (1, 2, 0.5, 0.5), (1, 3, 0.6, 0.5)], "g int, id long, x double, y double")
     assert [(r["a"], r["b"]) for r in near_pairs(df, 0.0, "g", "id").collect()] == [(1, 2)]
