@@ -98,7 +98,8 @@ def balanced_totals(df: DataFrame, keys: list[str], sums: list[str], n: int | No
         if tail is not None:
             yield from give(tail, [0])
 
-    states = narrow.mapInArrow(fold_task, state)
+    # written once: sampling the bounds reads them a second time
+    states = cut(narrow.mapInArrow(fold_task, state))
     ranged = states.repartitionByRange(n, *named, "turn").sortWithinPartitions(*named)
     # read twice below: sampled bounds may differ from run to run, so the states are written once
     local = cut(ranged.mapInArrow(fold_range, merged))
