@@ -95,13 +95,6 @@ def swap_middle(s: str | Column) -> Column:
     return F.concat(F.substring(_c(s), 1, 7), other, F.substring(_c(s), 10, 1000))
 
 
-def substitutions(s: str | Column, n: int, alphabet: str = "ACGTN") -> Column:
-    """Array of ``(form, pos)``: every string with one other base, and where."""
-    bases = F.array(*map(F.lit, alphabet))
-    each = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.transform(bases, lambda b: F.struct(F.overlay(_c(s), b, k, F.lit(1)).alias("form"), k.cast("int").alias("pos"))))
-    return F.filter(F.flatten(each), lambda x: x["form"] != _c(s))
-
-
 def deletions(s: str | Column, n: int) -> Column:
     """Array of ``(form, pos)``: every string with one base left out; equal forms are kept apart."""
     return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.struct(F.concat(F.substring(_c(s), F.lit(1), k - 1), F.substring(_c(s), k + 1, F.lit(n))).alias("form"), k.cast("int").alias("pos")))
