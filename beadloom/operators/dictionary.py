@@ -87,11 +87,12 @@ def cell_matches(observed: DataFrame, whitelist: DataFrame, length: int) -> Data
     """``cb_index, match, cell``: each observed barcode's whitelist position, exact, by one other base, or ambiguous.
 
     ``observed``: ``cb_index, barcode``; ``whitelist``: ``cell, barcode``, both unique. Neighbours are made from the observed side's
-    whitelist only, so 64 rows per whitelist entry meet the observed barcodes by equality.
+    whitelist only, so 64 rows per whitelist entry meet the observed barcodes by equality. Both joins are by sorted partitions, at any size: the
+    planner takes the neighbours for as small as the whitelist they are made of, and would collect and broadcast all 64 rows an entry.
     """
     exact = whitelist.select("barcode", F.col("cell").alias("own"))
     near = _changed(whitelist.select("cell", "barcode"), length).groupBy(F.col("form").alias("barcode")).agg(F.count("*").alias("n"), F.min("cell").alias("near"))
-    met = observed.join(exact, "barcode", "left").join(near, "barcode", "left")
+    met = observed.join(exact.hint("merge"), "barcode", "left").join(near.hint("merge"), "barcode", "left")
     match = F.when(F.col("own").isNotNull(), "exact").when(F.col("n") == 1, "HD1").when(F.col("n") > 1, "HD1ambig").otherwise("none")
     return met.select("cb_index", match.alias("match"), F.coalesce("own", F.when(F.col("n") == 1, F.col("near"))).alias("cell"))
 

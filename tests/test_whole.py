@@ -8,6 +8,8 @@ from beadloom.operators import molecules
 from beadloom.operators import positioning as P
 from beadloom.plans import general, molecule_queries, position_queries
 
+from same import check
+
 
 def save(spark, folder, **tables):
     for name, (rows, schema) in tables.items():
@@ -59,3 +61,33 @@ def test_remap_choice_counts_the_reads_of_every_fifth_cell(spark, small):
     old, new = (molecule_queries.QUERIES[q](spark, small).first() for q in ("cb_remap_choice", "cb_remap_choice_all"))
     print("REMAP", old, new)
     assert new["reads_plain"] > old["reads_plain"] and new["reads_swapped"] >= old["reads_swapped"]
+
+
+def broadcasts(df):
+    """Tables that the plan sends whole to the driver."""
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def cells(spark, folder):
+    """300 cells; 1 and 2 are one base apart, so forms of theirs are ambiguous."""
+    rng = random.Random(5)
+    made = ["ACGTACGTACGTACGT", "CCGTACGTACGTACGT", *("".join(rng.choice("ACGT") for _ in range(16)) for _ in range(298))]
+    molecules = [(c, u, u % 9, (c or 0) % 4) for c in (*range(-5, 303), None) for u in range(3)]
+    tables = dict(cb_list=(list(enumerate(made, 1)), "cb_index long, barcode string"), molecules=(molecules, "cb_index long, umi_2bit long, sb_index long, reads long"))
+    return save(spark, folder, **tables)
+
+
+def same_without_broadcast(spark, folder, name):
+    import duckdb
+
+    sf = cells(spark, folder)
+    got = molecule_queries.QUERIES[name](spark, sf)
+    assert broadcasts(got) == 0
+    con = duckdb.connect()
+    for t in ("cb_list", "molecules"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet/*.parquet'")
+    check(got, con.sql(molecule_queries.ORACLE[name]))
+
+
+def test_forms_of_cells_are_not_sent_to_the_driver(spark, tmp_path):
+    same_without_broadcast(spark, tmp_path, "cb_fuzzy_match")
