@@ -95,3 +95,7 @@ def test_forms_of_cells_are_not_sent_to_the_driver(spark, tmp_path):
 
 def test_reads_by_match_of_cells_are_counted_without_sending_forms_to_the_driver(spark, tmp_path):
     same_without_broadcast(spark, tmp_path, "cb_match_counts")
+
+
+def test_molecules_are_reindexed_without_sending_forms_to_the_driver(spark, tmp_path):
+    same_without_broadcast(spark, tmp_path, "cb_reindex")
