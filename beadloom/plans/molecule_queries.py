@@ -194,7 +194,8 @@ def cb_reindex(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("cb_match_counts", with_([*V.MOLECULES, *_CELL_MATCH], "SELECT coalesce(cm.match, 'none') AS match, sum(reads)::BIGINT AS reads FROM mol LEFT JOIN cm USING (cb_index) GROUP BY 1"))
 def cb_match_counts(spark: SparkSession, sf: str) -> DataFrame:
-    met = V.matrix(spark, sf).groupBy("cb_index").agg(F.sum("reads").alias("reads")).join(_cells(spark, sf), "cb_index", "left")
+    """Reads by match. Cells are joined by sorted partitions at any number of them, never sent whole to the driver."""
+    met = V.matrix(spark, sf).groupBy("cb_index").agg(F.sum("reads").alias("reads")).join(_cells(spark, sf).hint("merge"), "cb_index", "left")
     return met.groupBy(F.coalesce("match", F.lit("none")).alias("match")).agg(F.sum("reads").alias("reads"))
 
 

@@ -99,3 +99,16 @@ def test_reads_by_match_of_cells_are_counted_without_sending_forms_to_the_driver
 
 def test_molecules_are_reindexed_without_sending_forms_to_the_driver(spark, tmp_path):
     same_without_broadcast(spark, tmp_path, "cb_reindex")
+
+
+def sent_whole(spark, folder, name):
+    """Tables that the plan as run sends whole to the driver: joins changed while it runs count too, and no cell may be sent."""
+    got = molecule_queries.QUERIES[name](spark, cells(spark, folder))
+    got.collect()
+    ran = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in ran
+    return ran.split("+- == Initial Plan ==")[0].count("BroadcastExchange")
+
+
+def test_reads_by_match_are_counted_without_sending_any_cell_to_the_driver(spark, tmp_path):
+    assert sent_whole(spark, tmp_path, "cb_match_counts") == 0
