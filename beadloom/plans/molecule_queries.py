@@ -186,8 +186,11 @@ _REINDEX = """ri AS (SELECT CASE WHEN m.cb_index > 0 THEN coalesce(cm.cell, -m.c
 
 @query("cb_reindex", with_([*V.MOLECULES, *_CELL_MATCH, _REINDEX], "SELECT * FROM ri"))
 def cb_reindex(spark: SparkSession, sf: str) -> DataFrame:
-    """Molecules under whitelist positions; unmatched cells keep their number negated, fuzzy ones are added to exact ones."""
-    met = V.matrix(spark, sf).join(_cells(spark, sf), "cb_index", "left")
+    """Molecules under whitelist positions; unmatched cells keep their number negated, fuzzy ones are added to exact ones.
+
+    Cells are joined by sorted partitions at any number of them, never sent whole to the driver.
+    """
+    met = V.matrix(spark, sf).join(_cells(spark, sf).hint("merge"), "cb_index", "left")
     cb = F.when(F.col("cb_index") > 0, F.coalesce("cell", -F.col("cb_index"))).otherwise(F.col("cb_index"))
     return met.withColumn("to", cb).groupBy(F.col("to").alias("cb_index"), "umi_2bit", "sb_index").agg(F.sum("reads").alias("reads"))
 

@@ -112,3 +112,7 @@ def sent_whole(spark, folder, name):
 
 def test_reads_by_match_are_counted_without_sending_any_cell_to_the_driver(spark, tmp_path):
     assert sent_whole(spark, tmp_path, "cb_match_counts") == 0
+
+
+def test_molecules_are_reindexed_without_sending_any_cell_to_the_driver(spark, tmp_path):
+    assert sent_whole(spark, tmp_path, "cb_reindex") == 0
